@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidewell.llm import language_id, quality
 from tidewell.llm.sharding import bounded_ring_shards
 from tidewell.llm.token_counts import token_counts
 
@@ -26,9 +28,28 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bounded_ring_shards(table(spark, sf_dir, "documents"))
 
 
+def remainder(folds: int) -> Column:
+    """crc32 of doc_id as text, modulo the number of folds; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), remainder(5) != 0)
+    return quality.score(docs, model, held_out=remainder(5) == 0)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(remainder(4) != 2), F.col("lang"))
+    return language_id.identify(docs, model, held_out=remainder(4) == 2)
+
+
 QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op6_sharding": op6_sharding,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_language_id": op8_language_id,
 }
 
 #: SQL for the queries that it can express.
