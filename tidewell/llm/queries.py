@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import language_id, quality
+from tidewell.llm import language_id, media, quality
+from tidewell.llm.sentencepiece_codec import encoding_report
 from tidewell.llm.sharding import bounded_ring_shards
 from tidewell.llm.token_counts import token_counts
 
@@ -24,6 +25,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding_report(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_features(media.to_media(table(spark, sf_dir, "documents")))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bounded_ring_shards(table(spark, sf_dir, "documents"))
 
@@ -47,6 +56,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_counts": op2_token_counts,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op5_media_columns": op5_media_columns,
     "op6_sharding": op6_sharding,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_language_id": op8_language_id,
