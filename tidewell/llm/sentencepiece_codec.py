@@ -158,7 +158,7 @@ class Codec:
 
     def through_runs(self, cuts: list[str]) -> list[list[int]]:
         """Ids from the backend. Pieces of markers alone share one lowest score in byte-pair models, so there
-        place decides, not rank: what the word leaves of a run of markers is joined from the left, as far as pieces go."""
+        place decides, not rank: what the word leaves of a run of markers is joined from the left, where place decides."""
         if self.cut is None or self.model.kind != BPE:
             return [x.ids for x in self.tokenizer.encode_batch_fast(cuts, add_special_tokens=False)]
         lead = [len(c) - len(c.lstrip(" ▁")) for c in cuts]
@@ -172,14 +172,13 @@ class Codec:
         return out
 
     def run_ids(self, marks: int) -> list[int]:
-        out = []
-        while marks:
-            n = 1
-            while n < marks and n + 1 in self.of_run:
-                n += 1
-            out.append(self.of_run[n])
-            marks -= n
-        return out
+        """The leftmost pair that makes a piece is joined first: only the last two of an irreducible row can be it."""
+        out: list[int] = []
+        for _ in range(marks):
+            out.append(1)
+            while len(out) > 1 and out[-2] + out[-1] in self.of_run:
+                out[-2:] = [out[-2] + out[-1]]
+        return [self.of_run[n] for n in out]
 
     def expected(self, cuts: list[str], skip: int) -> list[list[int] | None]:
         """The other library's ids. It adds the prefix blank by itself, so cuts that start with none can't be asked alone."""
