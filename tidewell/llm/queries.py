@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import language_id, media, quality
+from tidewell.llm.decontamination import contamination
+from tidewell.llm.html_text import extracted
 from tidewell.llm.sentencepiece_codec import encoding_report
 from tidewell.llm.sharding import bounded_ring_shards
 from tidewell.llm.token_counts import token_counts
@@ -21,6 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -54,13 +60,19 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model, held_out=remainder(4) == 2)
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
     "op3_sentencepiece": op3_sentencepiece,
     "op5_media_columns": op5_media_columns,
     "op6_sharding": op6_sharding,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_language_id": op8_language_id,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 #: SQL for the queries that it can express.

@@ -29,14 +29,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Words:
     hashes: np.ndarray  # uint64, of every word in order
     first: np.ndarray  # text k has the words first[k] to first[k + 1]
-    starts: np.ndarray  # byte offsets of words in `data`
-    data: np.ndarray  # lower-cased bytes
+    starts: np.ndarray  # where words begin and end, in bytes from the start of all texts together
+    ends: np.ndarray
+    base: np.ndarray  # where text k begins in the same bytes
 
 
 def words(texts: list[bytes | None], kind: np.ndarray) -> Words:
     """All words of the texts; null has none. Words differ in hash unless 64 bits collide."""
     data = np.frombuffer(b" ".join([b"", *(x or b"" for x in texts), b" " * 8]).translate(LOWER), np.uint8)
-    ends_of = np.cumsum([1 + len(x or b"") for x in texts], dtype=np.int64)  # a text ends before the blank at this offset
+    sizes = np.array([len(x or b"") for x in texts], np.int64)
+    ends_of = np.cumsum(sizes + 1)  # a text ends before the blank at this offset
+    base = ends_of - sizes
     edge = np.diff(kind[data].view(np.int8))
     starts, ends = np.flatnonzero(edge == 1) + 1, np.flatnonzero(edge == -1) + 1
     sizes = ends - starts
@@ -52,7 +55,7 @@ def words(texts: list[bytes | None], kind: np.ndarray) -> Words:
             for k in at.tolist():
                 out[k] = int.from_bytes(hashlib.blake2b(data[starts[k] : ends[k]].tobytes(), digest_size=8).digest(), "little")
             break
-    return Words(out, np.concatenate(([0], np.searchsorted(starts, ends_of))), starts, data)
+    return Words(out, np.concatenate(([0], np.searchsorted(starts, ends_of))), starts, ends, base)
 
 
 def windows(hashes: np.ndarray, width: int) -> np.ndarray:
