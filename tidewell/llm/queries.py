@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import language_id, media, quality
+from tidewell.llm import chunk_store, language_id, media, quality
 from tidewell.llm.decontamination import contamination
 from tidewell.llm.html_text import extracted
 from tidewell.llm.sentencepiece_codec import encoding_report
@@ -60,6 +60,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model, held_out=remainder(4) == 2)
 
 
+def op9_chunk_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = chunk_store.write(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return chunk_store.verified(spark, store)
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted(table(spark, sf_dir, "pages"))
 
@@ -72,6 +77,7 @@ QUERIES = {
     "op6_sharding": op6_sharding,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_language_id": op8_language_id,
+    "op9_chunk_store": op9_chunk_store,
     "op10_html_extraction": op10_html_extraction,
 }
 
