@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewell.llm import chunk_store, language_id, media, quality
 from tidewell.llm.decontamination import contamination
 from tidewell.llm.html_text import extracted
+from tidewell.llm.jaccard_join import near_duplicates
 from tidewell.llm.sentencepiece_codec import encoding_report
 from tidewell.llm.sharding import bounded_ring_shards
 from tidewell.llm.token_counts import token_counts
@@ -35,6 +36,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_report(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("set_class")
+
+
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(media.to_media(table(spark, sf_dir, "documents")))
 
@@ -73,6 +78,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_media_columns": op5_media_columns,
     "op6_sharding": op6_sharding,
     "op7_quality_classifier": op7_quality_classifier,
