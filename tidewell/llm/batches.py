@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 4 << 20
 
 
-def column(df: DataFrame, name: str) -> Column:
-    return df[f"`{name}`"] if "`" not in name else df[name]
-
-
 def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
     """(id long, text binary) and no other column of df, so that no name can clash."""
     return df.select(
@@ -45,3 +41,15 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
 def decoded(raw: bytes | None) -> str:
     """The text of a row; null is empty."""
     return raw.decode("utf-8", "replace") if raw else ""
+
+
+def rows_where(docs: DataFrame, keep: Callable[[list[bytes | None]], np.ndarray], text_col: str = "text", most: int = 1 << 20) -> DataFrame:
+    """The rows of docs, with all their columns, whose texts `keep` marks."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices([batch], text_col, most):
+                yield part.filter(pa.array(keep(part.column(at).cast(pa.binary()).to_pylist()), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -17,16 +17,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.batches import id_and_text, slices, texts
+from tidewell.llm.batches import decoded, id_and_text, rows_where, slices, texts
 from tidewell.session import ready
 
 ORDER = 2
 TRAIN_ROWS = 20_000  # labelled rows fitted on, in expectation; all if there are fewer
 UNDETERMINED = "und"
 BLOCK = 1 << 20
+LETTER = regex.compile(r"\p{L}")
 
 #: Classes of bytes: letters without case, digits, white space and control, other ASCII, and each higher byte.
 _CLASS = np.array([b - 97 if 97 <= b <= 122 else b - 65 if 65 <= b <= 90 else 26 if 48 <= b <= 57 else 27 if b <= 32 or b == 127 else 28 if b < 127 else 29 + b - 128 for b in range(256)], np.int64)
@@ -125,15 +127,30 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     schema = ", ".join([f"`{id_col}` long", "lang_pred string", "score double", *(f"`{k}` {kept.schema[k].dataType.simpleString()}" for k in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = held.value
         for batch in slices(batches, most=1 << 20):
-            found, scores = [UNDETERMINED] * batch.num_rows, [0.0] * batch.num_rows
-            if m.languages:
-                bits = m.lengths(texts(batch))
-                best = bits.argmin(1)
-                shares = 1 / np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000)).sum(1)
-                for k in np.flatnonzero(batch.column("lettered").to_numpy(zero_copy_only=False)).tolist():
-                    found[k], scores[k] = m.languages[best[k]], float(shares[k])
+            found, scores = predicted(held.value, texts(batch), batch.column("lettered").to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.string()), pa.array(scores, pa.float64()), *(batch.column(k) for k in names)], [id_col, "lang_pred", "score", *names])
 
     return kept.mapInArrow(run, schema)
+
+
+def predicted(model: Model, raw: list[bytes | None], lettered: np.ndarray) -> tuple[list[str], list[float]]:
+    found, scores = [UNDETERMINED] * len(raw), [0.0] * len(raw)
+    if model.languages and len(raw):
+        bits = model.lengths(raw)
+        best = bits.argmin(1)
+        shares = 1 / np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000)).sum(1)
+        for k in np.flatnonzero(lettered).tolist():
+            found[k], scores[k] = model.languages[best[k]], float(shares[k])
+    return found, scores
+
+
+def in_some_language(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """docs without the undetermined texts and those whose best language has a share below `least`."""
+    held = ready(docs.sparkSession).sparkContext.broadcast(model)
+
+    def keep(raw: list[bytes | None]) -> np.ndarray:
+        lettered = np.array([LETTER.search(decoded(x)) is not None for x in raw], bool)
+        return np.array(predicted(held.value, raw, lettered)[1]) >= least
+
+    return rows_where(docs, keep, text_col)

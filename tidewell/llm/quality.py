@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.batches import id_and_text, slices, texts
+from tidewell.llm.batches import id_and_text, rows_where, slices, texts
 from tidewell.llm.textwords import NOT_SPACE, windows, words
 from tidewell.session import ready
 
@@ -150,3 +150,9 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(s), pa.array((s >= threshold).astype(np.int32)), *(batch.column(k) for k in names)], [id_col, "score", "predicted", *names])
 
     return kept.mapInArrow(run, schema)
+
+
+def good(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """docs whose score is at least the threshold."""
+    held = ready(docs.sparkSession).sparkContext.broadcast(model)
+    return rows_where(docs, lambda raw: held.value.score(features(raw)) >= threshold, text_col)

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -214,16 +215,19 @@ def codec(path: str) -> Codec:
 
 
 def encoded(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, ids (array of int)."""
+    """Per row: id, n_tokens, ids (array of int), same_ids (as the sentencepiece library)."""
     ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
         for batch in slices(batches, most=1 << 20):
-            ids, _ = c.encode([decoded(x) for x in texts(batch)])
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([array("i", x) for x in ids], pa.list_(pa.int32()))], [id_col, "ids"])
+            ids, same = c.encode([decoded(x) for x in texts(batch)])
+            n = np.array([len(x) // 4 for x in ids], np.int64)
+            flat = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
+            listed = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32)), flat)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), listed, pa.array(same, pa.bool_())], [id_col, "n_tokens", "ids", "same_ids"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, f"`{id_col}` long, ids array<int>")
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, f"`{id_col}` long, n_tokens long, ids array<int>, same_ids boolean")
 
 
 def encoding_report(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
