@@ -64,5 +64,6 @@ def pixels_normalised(channels: Column) -> Column:
 
 def to_byte(value: Column, low: Column, high: Column) -> Column:
     """Where a value stands between low and high, as 0 to 255; 0 if these are equal."""
-    share = (value - low) / F.nullif(high - low, F.lit(0.0))
-    return F.coalesce(F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)) * 255).cast("int"), F.lit(0))
+    share = (value - low) / (high - low)
+    scaled = F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)) * 255).cast("int")
+    return F.when(high > low, scaled).otherwise(F.lit(0))

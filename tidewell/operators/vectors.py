@@ -73,7 +73,7 @@ def nearest(queries: DataFrame, training: DataFrame, k: int, query_id: str, vect
     for b in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b) if blocks > 1 else rows
         local = part.toPandas().sort_values("id")  # at most about MOST_TRAINING_BYTES
-        matrix = np.array(local["v"].tolist(), np.float64).reshape(len(local), -1)
+        matrix = np.array(local["v"].tolist(), np.float64).reshape(len(local), size)
         norms = np.linalg.norm(matrix, axis=1) if len(local) else np.empty(0)
         held = spark.sparkContext.broadcast((local["id"].to_numpy()[norms > 0], matrix[norms > 0] / norms[norms > 0][:, None] if len(local) else matrix))
 

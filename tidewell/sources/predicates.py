@@ -36,9 +36,9 @@ def as_column(predicate: dict, columns: dict[str, str] | None = None) -> Column:
         return reduce((lambda a, b: a & b) if kind == "and" else (lambda a, b: a | b), parts, F.lit(kind == "and") if not parts else parts[0])
     if kind == "not":
         return ~as_column(predicate["predicate"], columns)
+    if kind not in ("equals", "in"):
+        raise ValueError(f"unknown predicate {kind}")
     c = F.col((columns or {}).get(predicate["key"], predicate["key"].lower()))
     if kind == "equals":
         return c == F.lit(predicate["value"])
-    if kind == "in":
-        return c.cast("string").isin(*map(str, predicate["values"]))
-    raise ValueError(f"unknown predicate {kind}")
+    return c.cast("string").isin(*map(str, predicate["values"]))
