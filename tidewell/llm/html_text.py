@@ -67,8 +67,12 @@ def _barred(tag: str, attrs: str) -> bool:
     return False
 
 
+def _letters(text: str) -> int:
+    return sum(map(len, text.split()))
+
+
 def blocks(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
-    """(path, text, characters in links, barred) of every block with text, in page order."""
+    """(path, text, characters in links without white space, barred) of every block with text, in page order."""
     out: list[tuple[tuple[str, ...], str, int, bool]] = []
     stack: list[tuple[str, bool]] = []  # open block elements, barred or within a barred one
     parts: list[str] = []
@@ -78,7 +82,7 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            out.append((tuple(t for t, _ in stack), text, min(linked, len(text)), bool(stack) and stack[-1][1]))
+            out.append((tuple(t for t, _ in stack), text, linked, bool(stack) and stack[-1][1]))
         parts.clear()
         linked = 0
 
@@ -88,7 +92,7 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
             text = unescape(raw) if "&" in raw else raw
             parts.append(text)
             if in_link:
-                linked += len(text.strip())
+                linked += _letters(text)
 
     for m in TOKEN.finditer(html):
         put(html[at : m.start()])
@@ -131,8 +135,9 @@ def path_scores(found: list[tuple[tuple[str, ...], str, int, bool]]) -> dict[tup
     for path, text, linked, _ in found:
         s = sums.setdefault(path, [0, 0, 0])
         s[0] += 1
-        s[1] += len(text) - linked
-        s[2] += len(SIGNS.findall(text)) if linked < len(text) else 0
+        free = _letters(text) - linked  # characters outside links, without white space
+        s[1] += free
+        s[2] += len(SIGNS.findall(text)) if free else 0
     fused = {p: sqrt(length / n * (1 + signs / n)) for p, (n, length, signs) in sums.items()}
     own = [fused[b[0]] for b in found]
     smooth = [(own[max(0, k - 1)] + 2 * x + own[min(len(own) - 1, k + 1)]) / 4 for k, x in enumerate(own)]
@@ -145,7 +150,7 @@ def path_scores(found: list[tuple[tuple[str, ...], str, int, bool]]) -> dict[tup
 def main_text(html: str, share: float = SHARE) -> str:
     found = [b for b in blocks(html) if not b[3]]
     inside = [b for b in found if "article" in b[0]] or [b for b in found if "main" in b[0]]
-    found = inside if sum(len(b[1]) - b[2] for b in inside) else found
+    found = inside if sum(_letters(b[1]) - b[2] for b in inside) else found
     scores = path_scores(found)
     least = share * max(scores.values(), default=0.0)
     return "\n\n".join(b[1] for b in found if scores[b[0]] >= least and scores[b[0]] > 0)
