@@ -103,7 +103,8 @@ def merges_of(pieces: list[tuple[str, float, int]]) -> list[tuple[str, str]]:
     return [(a, b) for *_, a, b in sorted(out)]
 
 
-def backend(model: ModelFile) -> Tokenizer:
+def backend(model: ModelFile, prefixed: bool = False) -> Tokenizer:
+    """prefixed: texts come with their dummy prefix."""
     unknown = next(k for k, p in enumerate(model.pieces) if p[2] == UNKNOWN)
     if model.kind == BPE:
         vocab = {p: k for k, (p, _, _) in enumerate(model.pieces)}
@@ -114,7 +115,7 @@ def backend(model: ModelFile) -> Tokenizer:
     steps = [normalizers.Precompiled(model.charsmap)] if model.charsmap else []
     if model.squeeze:
         steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
-    # The dummy prefix is set by the codec, which cuts the text first.
+    steps += [normalizers.Prepend(MARK if model.escape else " ")] if model.dummy_prefix and not prefixed else []
     steps += [normalizers.Replace(" ", MARK)] if model.escape else []
     out.normalizer = normalizers.Sequence(steps)
     out.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *([decoders.Strip(" ", 1, 0)] if model.dummy_prefix else [])])
@@ -130,11 +131,11 @@ class Codec:
         with open(path, "rb") as f:
             data = f.read()
         self.model = parse(data)
-        self.tokenizer = backend(self.model)
         self.theirs = sentencepiece.SentencePieceProcessor(model_proto=data)
         crossing = any(re.search(f"[^{MARK}]{MARK}", p) for p, _, _ in self.model.pieces)
         plain = not self.model.charsmap and not self.model.squeeze and self.model.escape
         self.cut = re.compile(r"[ ▁]+[^ ▁]*|[^ ▁]+") if plain and self.model.split_by_space and not crossing else None
+        self.tokenizer = backend(self.model, self.cut is not None)
         self.of_run = {len(p): k for k, (p, _, t) in enumerate(self.model.pieces) if t == NORMAL and not p.strip(MARK)}
         self.known: dict[str, bytes] = {}
         self.differing: dict[str, None] = {}
@@ -143,15 +144,16 @@ class Codec:
     def cuts(self, text: str) -> list[str]:
         if not text:
             return []
-        text = " " + text if self.model.dummy_prefix else text
-        return self.cut.findall(text) if self.cut else [text]
+        if self.cut is None:
+            return [text]
+        return self.cut.findall(" " + text if self.model.dummy_prefix else text)
 
     def learn(self, cuts: set[str]) -> None:
         """Encodes cuts in one multithreaded batch and compares each with the sentencepiece library."""
         if len(self.known) + len(cuts) > self.MOST:
             self.known.clear()
         new = list(cuts)
-        skip = 1 if self.model.dummy_prefix else 0
+        skip = 1 if self.model.dummy_prefix and self.cut else 0
         for cut, got, want in zip(new, self.through_runs(new), self.expected(new, skip), strict=True):
             self.known[cut] = array("I", got).tobytes()
             if want is not None and got != want:
