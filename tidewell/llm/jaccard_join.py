@@ -3,10 +3,13 @@
 A parity-sketch join (see parity.py). Exact copies fold into one set first. Each set sends the words of
 its sketch that the pigeonhole argument asks for, as keys. Sets that share a key are candidates:
 
-1. twice, every set is verified against the centre (least by a hash) of the keys it shares most often,
-   and what holds is folded into components; a family of copies so costs a comparison each, not pairs;
+1. twice, every set is compared with the centre (least by a hash) of the keys it shares most often, by
+   bit sketches and then in full, and what holds is folded into components; a family of copies so costs
+   a comparison each, not pairs;
 2. for keys that then still join sets of different components, all such pairs are compared by size
-   and by the Hamming distance of bit sketches within the join, and what passes is verified.
+   and by the Hamming distance of bit sketches within the join, and what passes is verified. A pair
+   counts at a key only if the sets share none of their LOOK_BACK keys before it; at the least key
+   that two sets share that always holds.
 
 Pairs of sets in one component are never looked at, pairs of others always; so no link that could change
 a component is lost. Verification compares whole sets of 64-bit shingle hashes.
@@ -35,7 +38,10 @@ from tidewell.session import materialise, ready
 STAR_ROUNDS = 2
 BITMAP_BITS = 26  # of the filter that tells which sets are candidates; its size is fixed
 PIECES = 64  # that counts and bitmaps are summed in
+LOOK_BACK = 8
+BROADCAST_PAIRS = 1_000_000  # of two numbers each
 REMEMBERED = 500_000  # set ids by which a task leaves out copies it has met
+MOST_COUNTED = (1 << 16) - 1  # counts end there: what is as common comes last in any case
 SKETCH = [f"k{i}" for i in range(parity.SKETCH_WORDS)]
 
 
@@ -104,21 +110,22 @@ def shingle_counts(kept: DataFrame, clashing: frozenset[int]) -> np.ndarray:
     """Sets by shingle, in 2**COUNT_BITS buckets of shingles; over all documents. They order keys and decide nothing else."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, counts = _Ids(clashing), np.zeros(1 << parity.COUNT_BITS, np.int64)
+        ids, counts = _Ids(clashing), np.zeros(1 << parity.COUNT_BITS, np.uint16)
         for batch in slices(batches):
             fresh = [s for s in _sets(batch) if len(s) and ids.fresh(ids.of(s))]
             if fresh:
-                counts += np.bincount((np.concatenate(fresh) >> U(64 - parity.COUNT_BITS)).astype(np.int64), minlength=len(counts))
-        yield _pieces(np.minimum(counts, (1 << 31) - 1).astype("<u4"))
+                at, n = np.unique((np.concatenate(fresh) >> U(64 - parity.COUNT_BITS)).astype(np.int64), return_counts=True)
+                counts[at] = np.minimum(counts[at] + n, MOST_COUNTED)
+        yield _pieces(counts)
 
-    found = _summed(kept.mapInArrow(run, "piece int, task long, data binary"), "<u4", _Saturating)
-    return found if len(found) else np.zeros(1 << parity.COUNT_BITS, "<u4")
+    found = _summed(kept.mapInArrow(run, "piece int, task long, data binary"), "<u2", _Saturating)
+    return found if len(found) else np.zeros(1 << parity.COUNT_BITS, "<u2")
 
 
 class _Saturating:
     @staticmethod
     def reduce(rows: np.ndarray) -> np.ndarray:
-        return np.minimum(rows.astype(np.int64).sum(0), (1 << 32) - 1)
+        return np.minimum(rows.astype(np.int64).sum(0), MOST_COUNTED)
 
 
 def key_rows(kept: DataFrame, counts: np.ndarray, clashing: frozenset[int]) -> DataFrame:
@@ -179,9 +186,15 @@ def candidate_sets(kept: DataFrame, keyed: DataFrame, clashing: frozenset[int])
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set ids that are linked."""
+    """The pairs (a, b) of set ids that are linked. Few pairs go to the sets; of many, the sets go to the pairs."""
+    pairs = materialise(pairs, "pairs")
+    few = pairs.count() <= BROADCAST_PAIRS
     own = sets.select("sid", "shingles")
-    both = pairs.join(own.withColumnsRenamed({"sid": "a", "shingles": "x"}), "a").join(own.withColumnsRenamed({"sid": "b", "shingles": "y"}), "b")
+    if few:
+        side = lambda key, name: own.join(F.broadcast(pairs), own["sid"] == F.col(key)).select("a", "b", F.col("shingles").alias(name))
+        both = side("a", "x").join(side("b", "y"), ["a", "b"])
+    else:
+        both = pairs.join(own.withColumnsRenamed({"sid": "a", "shingles": "x"}), "a").join(own.withColumnsRenamed({"sid": "b", "shingles": "y"}), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,6 +208,20 @@ def _sizes_fit(n: Column, m: Column) -> Column:
     return 4 * F.least(n, m) >= 3 * F.greatest(n, m)
 
 
+def _apart() -> Column:
+    """The Hamming distance of the bit sketches of sides a and b: at most |A xor B|, so at most (|A| + |B|) / 7 where they're linked."""
+    return sum((F.bit_count(F.col(f"a_{k}").bitwiseXOR(F.col(f"b_{k}"))) for k in SKETCH), F.lit(0))
+
+
+def plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose bit sketches don't rule a link out."""
+    out = pairs
+    for side in "ab":
+        own = sets.select(F.col("sid").alias(side), F.col("n").alias(f"{side}_n"), *(F.col(k).alias(f"{side}_{k}") for k in SKETCH))
+        out = out.join(own, side)
+    return out.where(7 * _apart() <= F.col("a_n") + F.col("b_n")).select("a", "b")
+
+
 def _labelled(keyed: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Key rows with their components; only keys that still join several."""
     if labels is None:
@@ -220,12 +247,14 @@ def set_components(keyed: DataFrame, sets: DataFrame) -> DataFrame:
         rows = rows.withColumn("c", centre).where((F.col("label") != F.col("c.label")) & _sizes_fit(F.col("n"), F.col("c.n")))
         votes = rows.groupBy(F.col("sid").alias("a"), F.col("c.sid").alias("b")).agg(F.count("*").alias("votes"))
         pairs = votes.groupBy("a").agg(F.max(F.struct("votes", "b")).alias("best")).select("a", "best.b")
-        labels = materialise(_joined(labels, verified(pairs, sets)), "labels")
-    rows = _labelled(keyed, labels).join(sets.select("sid", *SKETCH), "sid")
-    x, y = rows.select("key", *(F.col(c).alias(f"a_{c}") for c in ("sid", "n", "label", *SKETCH))), rows.select("key", *(F.col(c).alias(f"b_{c}") for c in ("sid", "n", "label", *SKETCH)))
-    apart = sum((F.bit_count(F.col(f"a_{k}").bitwiseXOR(F.col(f"b_{k}"))) for k in SKETCH), F.lit(0))
-    # |A xor B| <= (|A| + |B|) / 7 where the Jaccard is 3/4 or more.
-    close = (F.col("a_sid") < F.col("b_sid")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit(F.col("a_n"), F.col("b_n")) & (7 * apart <= F.col("a_n") + F.col("b_n"))
+        labels = materialise(_joined(labels, verified(plausible(pairs, sets), sets)), "labels")
+    in_order = Window.partitionBy("sid").orderBy("key")
+    back = F.array(*(F.lag("key", k).over(in_order) for k in range(1, LOOK_BACK + 1)))
+    rows = _labelled(keyed, labels).join(sets.select("sid", *SKETCH), "sid").withColumn("back", back)
+    carried = ("sid", "n", "label", "back", *SKETCH)
+    x, y = (rows.select("key", *(F.col(c).alias(f"{side}_{c}") for c in carried)) for side in "ab")
+    close = (F.col("a_sid") < F.col("b_sid")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit(F.col("a_n"), F.col("b_n")) & (7 * _apart() <= F.col("a_n") + F.col("b_n"))
+    close = close & ~F.coalesce(F.arrays_overlap("a_back", "b_back"), F.lit(False))
     pairs = x.join(y, (x["key"] == y["key"]) & close).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")).distinct()
     return materialise(_joined(labels, verified(pairs, sets)), "labels")
 

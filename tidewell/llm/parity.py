@@ -20,7 +20,7 @@ from tidewell.llm.textwords import U, mix
 
 WIDTH = 5
 SMALL = 5
-COUNT_BITS = 20
+COUNT_BITS = 22
 SKETCH_WORDS = 16  # 64-bit words of the bit sketch that candidates are compared by
 
 
