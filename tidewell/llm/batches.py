@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
@@ -43,7 +43,7 @@ def decoded(raw: bytes | None) -> str:
     return raw.decode("utf-8", "replace") if raw else ""
 
 
-def rows_where(docs: DataFrame, keep: Callable[[list[bytes | None]], np.ndarray], text_col: str = "text", most: int = 1 << 20) -> DataFrame:
+def rows_where(docs: DataFrame, keep: Callable[[list[bytes | None]], np.ndarray], text_col: str = "text", most: int = 1 << 19) -> DataFrame:
     """The rows of docs, with all their columns, whose texts `keep` marks."""
     at = docs.columns.index(text_col)
 

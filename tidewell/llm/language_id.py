@@ -27,7 +27,7 @@ from tidewell.session import ready
 ORDER = 2
 TRAIN_ROWS = 20_000  # labelled rows fitted on, in expectation; all if there are fewer
 UNDETERMINED = "und"
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 LETTER = regex.compile(r"\p{L}")
 
 #: Classes of bytes: letters without case, digits, white space and control, other ASCII, and each higher byte.
@@ -102,7 +102,7 @@ def fit(docs: DataFrame, lang: Column, text_col: str = "text", id_col: str = "do
     chosen = known.where(F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.lit(8)), F.lit(1 << 20)) < int(share * (1 << 20)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=1 << 20):
+        for batch in slices(batches, most=1 << 19):
             langs = np.array(batch.column("lang").to_pylist(), object)
             raw = texts(batch)
             for name in dict.fromkeys(langs):
@@ -127,7 +127,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     schema = ", ".join([f"`{id_col}` long", "lang_pred string", "score double", *(f"`{k}` {kept.schema[k].dataType.simpleString()}" for k in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=1 << 20):
+        for batch in slices(batches, most=1 << 19):
             found, scores = predicted(held.value, texts(batch), batch.column("lettered").to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.string()), pa.array(scores, pa.float64()), *(batch.column(k) for k in names)], [id_col, "lang_pred", "score", *names])
 

@@ -127,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column, label_col: str = "qual
     drawn = drawn.withColumns({"p": F.col("p_id").isNotNull(), "u": F.coalesce(place(F.col("id"), 2) < keep_u, F.lit(False))}).where("p OR u")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=1 << 20):
+        for batch in slices(batches, most=1 << 19):
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("p"), batch.column("u"), pa.array(features(texts(batch)).tolist(), pa.list_(pa.float64()))], ["id", "p", "u", "x"])
 
     rows = drawn.select("id", "text", "p", "u").mapInArrow(run, "id long, p boolean, u boolean, x array<double>").toPandas()
@@ -145,7 +145,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "
     schema = ", ".join([f"`{id_col}` long", "score double", "predicted int", *(f"`{k}` {kept.schema[k].dataType.simpleString()}" for k in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=1 << 20):
+        for batch in slices(batches, most=1 << 19):
             s = held.value.score(features(texts(batch)))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(s), pa.array((s >= threshold).astype(np.int32)), *(batch.column(k) for k in names)], [id_col, "score", "predicted", *names])
 
