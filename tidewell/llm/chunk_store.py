@@ -21,6 +21,7 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,7 +36,7 @@ from tokenizers import Tokenizer
 
 from tidewell.llm.batches import decoded, id_and_text, slices, texts
 from tidewell.llm.textwords import mix
-from tidewell.llm.units import Memo, units
+from tidewell.llm.units import RARE_SPACE, WORD, Memo, units
 from tidewell.session import fresh_path, materialise, ready
 
 END = 2
@@ -52,28 +53,60 @@ class Encoder:
         added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special = {s: np.array([i], self.dtype).tobytes() for s, i in added.items()}
         self.parts = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
-        self.of_unit = Memo(lambda u: np.array(self.tokenizer.encode(u, add_special_tokens=False).ids, self.dtype).tobytes())
+        self.of_unit = Memo(lambda u: np.array(self.tokenizer.encode(u, add_special_tokens=False).ids, self.dtype).tobytes(), most=800_000)
 
     def learn(self, found: set[str]) -> None:
-        new = [u for u in found if u not in self.of_unit and len(u) <= self.of_unit.longest]
-        if len(self.of_unit) + len(new) > self.of_unit.most:
-            self.of_unit.clear()
-            new = [u for u in found if len(u) <= self.of_unit.longest]
-        for unit, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.of_unit[unit] = np.array(got.ids, self.dtype).tobytes()
+        """Remembers units that are new. Those that begin with white space and end without are encoded many as one text, and its tokens taken apart by place."""
+        memo = self.of_unit
+        if len(memo) + len(found) > memo.most:
+            memo.aside = dict(memo)
+            memo.clear()
+        new = found.difference(memo)  # all, if entries were set aside just now
+        again = new & memo.aside.keys()
+        memo.update((u, memo.aside[u]) for u in again)
+        words, others = [], []
+        for unit in new - again:
+            if WORD.fullmatch(unit):
+                words.append(unit)
+            elif len(unit) <= memo.longest and unit[0] in " \n" and unit[-1] not in " \n" and not RARE_SPACE.search(unit):
+                others.append(unit)
+        width = self.dtype.itemsize
+        for some, plain in [(words[k : k + 4096], True) for k in range(0, len(words), 4096)] + [(others[k : k + 4096], False) for k in range(0, len(others), 4096)]:
+            got = self.tokenizer.encode("".join(some), add_special_tokens=False)
+            data = np.array(got.ids, self.dtype).tobytes()
+            if plain:  # a piece each
+                cuts = [0, *((np.flatnonzero(np.diff(np.array(got.word_ids))) + 1) * width).tolist(), len(data)]
+            else:
+                starts = np.fromiter((a for a, _ in got.offsets), np.int64, len(got.ids))
+                cuts = [0, *(np.searchsorted(starts, np.cumsum([len(u) for u in some])) * width).tolist()]
+            memo.update(zip(some, [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
 
     def encode(self, many: list[str]) -> list[bytes]:
-        cut = []
+        memo, docs, gaps = self.of_unit, [], {}
         for text in many:
             special = self.parts is not None and any(s in text for s in self.special)
-            cut.append([(x in self.special, [x] if x in self.special else units(x)) for x in (self.parts.split(text) if special else [text]) if x])
-        self.learn({u for doc in cut for special, us in doc if not special for u in us})
-        of_unit = self.of_unit
-        return [b"".join([self.special[us[0]] if special else b"".join([of_unit[u] for u in us]) for special, us in doc]) for doc in cut]
+            parts = []
+            for x in (self.parts.split(text) if special else [text]) if text else ():
+                if x in self.special:
+                    parts.append([self.special[x]])
+                elif x:
+                    own = units(x)
+                    ids = list(map(memo.get, own))
+                    if None in ids:
+                        gaps[len(docs), len(parts)] = [(k, own[k]) for k, v in enumerate(ids) if v is None]
+                    parts.append(ids)
+            docs.append(parts)
+        self.learn({u for gap in gaps.values() for _, u in gap})
+        for (doc, part), gap in gaps.items():
+            ids = docs[doc][part]
+            for k, unit in gap:
+                ids[k] = memo[unit]
+        return [b"".join([b"".join(ids) for ids in parts]) for parts in docs]
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks have the cores
     return Encoder(path)
 
 

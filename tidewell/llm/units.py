@@ -9,30 +9,39 @@ from typing import Any
 # The pre-tokeniser's pattern, and the white space other than blank and line feed.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 RARE_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0  -     　]")
-UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+WORD = re.compile(f" [{LETTERS}]{{1,63}}")
+UNIT = re.compile(rf"[ \n]*[{LETTERS}]+(?=[.,](?:[ \n]|\Z)|[ \n]|\Z)|[.,](?=[ \n]|\Z)|[ \n]*[^ \n]+|[ \n]+")
 
 
 def units(text: str) -> list[str]:
-    """Runs of blanks and line feeds with the word that follows.
+    """Runs of blanks and line feeds with the word that follows, and a last stop or comma after it.
 
-    No piece of the pattern goes on from a non-space into a space, and none looks back, so each
-    unit is cut into the same pieces alone as in the text. Other white space could stand to the
-    left of a cut; texts that have it stay whole.
+    No piece of the pattern goes on from a non-space into a space or from a letter into a sign, and
+    none looks back, so each unit is cut into the same pieces alone as in the text. Other white space
+    could stand to the left of a cut; texts that have it stay whole.
     """
     return [text] if RARE_SPACE.search(text) else UNIT.findall(text)
 
 
 class Memo(dict):
-    """unit -> value. Bounded: at `most` entries it starts anew, which costs time, never results."""
+    """unit -> value. Bounded: at `most` entries these are set aside, in place of those set aside before,
+    and taken up again when they're met. What is forgotten costs time, never results."""
 
-    def __init__(self, make: Callable[[str], Any], most: int = 300_000, longest: int = 64):
+    def __init__(self, make: Callable[[str], Any], most: int = 400_000, longest: int = 64):
         super().__init__()
-        self.make, self.most, self.longest = make, most, longest
+        self.make, self.most, self.longest, self.aside = make, most, longest, {}
+
+    def keep(self, key: str, value: Any) -> None:
+        if len(self) >= self.most:
+            self.aside = dict(self)
+            self.clear()
+        self[key] = value
 
     def __missing__(self, key: str) -> Any:
-        value = self.make(key)
+        value = self.aside.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= self.longest:
-            if len(self) >= self.most:
-                self.clear()
-            self[key] = value
+            self.keep(key, value)
         return value
