@@ -36,11 +36,12 @@ from tokenizers import Tokenizer
 
 from tidewell.llm.batches import decoded, id_and_text, slices, texts
 from tidewell.llm.textwords import mix
-from tidewell.llm.units import RARE_SPACE, WORD, Memo, units
+from tidewell.llm.units import RARE_SPACE, Memo, units
 from tidewell.session import fresh_path, materialise, ready
 
 END = 2
 WINDOW, LEAST, MEAN_BITS, MOST = 8, 64, 9, 4096
+COPIES_BYTES = 16 << 20  # of ids that a task keeps for exact copies of texts
 POLYNOMIAL = 0xEDB88320  # of crc32, lowest power first
 
 
@@ -66,9 +67,11 @@ class Encoder:
         memo.update((u, memo.aside[u]) for u in again)
         words, others = [], []
         for unit in new - again:
-            if WORD.fullmatch(unit):
+            if len(unit) > memo.longest:
+                continue
+            if unit[0] == " " and unit[1:].isalpha():
                 words.append(unit)
-            elif len(unit) <= memo.longest and unit[0] in " \n" and unit[-1] not in " \n" and not RARE_SPACE.search(unit):
+            elif unit[0] in " \n" and unit[-1] not in " \n" and not RARE_SPACE.search(unit):
                 others.append(unit)
         width = self.dtype.itemsize
         for some, plain in [(words[k : k + 4096], True) for k in range(0, len(words), 4096)] + [(others[k : k + 4096], False) for k in range(0, len(others), 4096)]:
@@ -79,6 +82,8 @@ class Encoder:
             else:
                 starts = np.fromiter((a for a, _ in got.offsets), np.int64, len(got.ids))
                 cuts = [0, *(np.searchsorted(starts, np.cumsum([len(u) for u in some])) * width).tolist()]
+            if len(cuts) != len(some) + 1:  # a letter here that isn't one to the library: each by itself, when asked for
+                continue
             memo.update(zip(some, [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
 
     def encode(self, many: list[str]) -> list[bytes]:
@@ -179,11 +184,19 @@ def chunked(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: s
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e, sent = encoder(tokenizer), {}
+        e, sent, copies, held = encoder(tokenizer), {}, {}, 0
         last = np.array([end], e.dtype).tobytes()
         width = e.dtype.itemsize
         for batch in slices(batches, most=1 << 20):
-            streams = [x + last for x in e.encode([decoded(x) for x in texts(batch)])]
+            raw = texts(batch)
+            keys = [hashlib.blake2b(x or b"", digest_size=16).digest() for x in raw]
+            new = {k: x for k, x in zip(keys, raw, strict=True) if k not in copies}
+            if held > COPIES_BYTES:
+                new, copies, held = dict(zip(keys, raw, strict=True)), {}, 0
+            for k, x in zip(new, e.encode([decoded(x) for x in new.values()]), strict=True):
+                copies[k] = x + last
+                held += len(x)
+            streams = [copies[k] for k in keys]
             ends = np.cumsum([len(x) // width for x in streams])
             starts = np.concatenate(([0], ends[:-1]))
             data = b"".join(streams)
@@ -226,7 +239,7 @@ def write(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     dealt = chunked(docs, tokenizer, id_col, text_col, end).withColumn("place", place).repartition("place")
     nth = F.row_number().over(Window.partitionBy("place", F.col("digest"), F.col("ids").isNotNull()).orderBy("row", "seq"))
     once = dealt.withColumn("ids", F.when(nth == 1, F.col("ids")))
-    once.drop("place").write.option("compression", "zstd").parquet(to.chunks)
+    once.drop("place").write.parquet(to.chunks)
     parts = F.sort_array(F.collect_list(F.struct("seq", "at", "n", "digest")))
     whole = spark.read.parquet(to.chunks).groupBy("row").agg(F.first("id").alias("id"), F.first("total").alias("total"), F.max("root").alias("root"), parts.alias("parts"))
     ordered = running_start(whole, ["id", "row"], "total")

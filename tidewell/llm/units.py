@@ -10,7 +10,6 @@ from typing import Any
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 RARE_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0  -     　]")
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-WORD = re.compile(f" [{LETTERS}]{{1,63}}")
 UNIT = re.compile(rf"[ \n]*[{LETTERS}]+(?=[.,](?:[ \n]|\Z)|[ \n]|\Z)|[.,](?=[ \n]|\Z)|[ \n]*[^ \n]+|[ \n]+")
 
 
