@@ -148,6 +148,7 @@ def test_keys_find_every_link():
             if len(b) and parity.linked(a, b):
                 assert len(np.intersect1d(parity.keys(a, counts), parity.keys(b, counts)))
                 apart = np.bitwise_count((parity.bit_sketch(a) ^ parity.bit_sketch(b)).view(np.uint64)).sum()
+                assert parity.distance(parity.wide_sketch(a), parity.wide_sketch(b)) <= len(np.setxor1d(a, b))
                 assert apart <= len(np.setxor1d(a, b)) and 7 * apart <= len(a) + len(b)
 
 

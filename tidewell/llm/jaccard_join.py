@@ -174,34 +174,42 @@ def candidate_sets(kept: DataFrame, keyed: DataFrame, clashing: frozenset[int])
                 sid = ids.of(s)
                 at = sid & (1 << BITMAP_BITS) - 1
                 if len(s) and len(bits) and bits[at >> 3] >> (at & 7) & 1 and ids.fresh(sid):
-                    rows.append((sid, len(s), s.tobytes(), *parity.bit_sketch(s).tolist()))
-            columns = zip(*rows, strict=True) if rows else [[]] * (3 + len(SKETCH))
-            kinds = [pa.int64(), pa.int32(), pa.binary(), *[pa.int64()] * len(SKETCH)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["sid", "n", "shingles", *SKETCH])
+                    rows.append((sid, len(s), s.tobytes(), parity.wide_sketch(s), *parity.bit_sketch(s).tolist()))
+            columns = zip(*rows, strict=True) if rows else [[]] * (4 + len(SKETCH))
+            kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * len(SKETCH)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["sid", "n", "shingles", "wide", *SKETCH])
 
-    found = kept.mapInArrow(run, "sid long, n int, shingles binary, " + ", ".join(f"{k} long" for k in SKETCH))
+    found = kept.mapInArrow(run, "sid long, n int, shingles binary, wide binary, " + ", ".join(f"{k} long" for k in SKETCH))
     # The same set from several tasks is the same row: rows of one sid are side by side after the join, the first stays.
     joined = found.join(wanted, "sid", "left_semi").withColumn("nth", F.row_number().over(Window.partitionBy("sid").orderBy("n")))
     return materialise(joined.where("nth = 1").drop("nth"), "candidate-sets")
 
 
+def _with_both(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """(a, b, m, n, x, y): the sizes and a column of both sets of each pair. Few pairs go to the sets; of many, the sets go to the pairs."""
+    own = sets.select("sid", F.col("n").alias("size"), column)
+    side = lambda key, n, x: own.select(F.col("sid").alias(key), F.col("size").alias(n), F.col(column).alias(x))
+    if pairs.count() <= BROADCAST_PAIRS:
+        return side("a", "m", "x").join(F.broadcast(pairs), "a").join(side("b", "n", "y").join(F.broadcast(pairs), "b"), ["a", "b"])
+    return pairs.join(side("a", "m", "x"), "a").join(side("b", "n", "y"), "b")
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set ids that are linked. Few pairs go to the sets; of many, the sets go to the pairs."""
-    pairs = materialise(pairs, "pairs")
-    few = pairs.count() <= BROADCAST_PAIRS
-    own = sets.select("sid", "shingles")
-    if few:
-        side = lambda key, name: own.join(F.broadcast(pairs), own["sid"] == F.col(key)).select("a", "b", F.col("shingles").alias(name))
-        both = side("a", "x").join(side("b", "y"), ["a", "b"])
-    else:
-        both = pairs.join(own.withColumnsRenamed({"sid": "a", "shingles": "x"}), "a").join(own.withColumnsRenamed({"sid": "b", "shingles": "y"}), "b")
+    """The pairs (a, b) of set ids that are linked: by wide sketches, which rule out most, then by whole sets."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def by_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows = zip(*(batch.column(k).to_pylist() for k in ("m", "n", "x", "y")), strict=True)
+            keep = [7 * parity.distance(x, y) <= m + n for m, n, x, y in rows]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    def by_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "x"):
             keep = [parity.linked(np.frombuffer(x, U), np.frombuffer(y, U)) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    close = _with_both(materialise(pairs, "pairs"), sets, "wide").select("a", "b", "m", "n", "x", "y").mapInArrow(by_sketch, "a long, b long")
+    return _with_both(materialise(close, "close-pairs"), sets, "shingles").select("a", "b", "x", "y").mapInArrow(by_sets, "a long, b long")
 
 
 def _sizes_fit(n: Column, m: Column) -> Column:

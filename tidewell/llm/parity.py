@@ -64,6 +64,21 @@ def bit_sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def wide_sketch(shingles: np.ndarray) -> bytes:
+    """A bit sketch of two to four bits for each shingle, 256 at least; a power of two, so that halves fold into each other."""
+    bits = 2 << max(7, len(shingles).bit_length())
+    odd = np.bincount((mix(shingles ^ U(0x2545F4914F6CDD1D)) & U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def distance(a: bytes, b: bytes) -> int:
+    """The Hamming distance of two wide sketches, the longer one folded."""
+    x, y = sorted((np.frombuffer(a, U), np.frombuffer(b, U)), key=len)
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether 100 x intersection is at least 75 x union."""
     both = len(np.intersect1d(a, b, assume_unique=True))
