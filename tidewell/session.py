@@ -26,8 +26,13 @@ def build(cpus: int | str = "*", app: str = "tidewell", **conf: str) -> SparkSes
     return ready(builder.config(map=settings).getOrCreate())
 
 
+#: Rows in an Arrow batch, where the session has Spark's own default: texts are long, and each batch is held several times over.
+BATCH_ROWS = "2000"
+ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ready(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package wherever the driver was started.
+    """Lets Python workers import this package wherever the driver was started, and keeps their memory low.
 
     On a cluster ship the package with --py-files; the path is then merely unused.
     """
@@ -35,6 +40,9 @@ def ready(spark: SparkSession) -> SparkSession:
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if PACKAGE_ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *filter(None, paths)])
+    env.setdefault("MALLOC_ARENA_MAX", "2")  # else each thread of a tokenizer keeps freed memory of its own
+    if spark.conf.get(ROWS_SETTING) == "10000":
+        spark.conf.set(ROWS_SETTING, BATCH_ROWS)
     return spark
 
 
