@@ -152,3 +152,18 @@ def test_html(spark, sf_dir):
     assert max(r.n_chars for r in got) == len("word, " * 20000) - 1
     whole = op10_html_extraction(spark, sf_dir).collect()
     assert len(whole) == table(spark, sf_dir, "pages").count() and all(r.n_chars > 0 for r in whole)
+
+
+def test_html_names_only_weigh():
+    story = "".join(f"<p>Sentence {k} of the story, which goes on for a while. It has commas, and stops.</p>" for k in range(6))
+    want = [f"Sentence {k} of the story, which goes on for a while. It has commas, and stops." for k in range(6)]
+    card = "<article class=card><a href=x>A teaser in a link</a> By me</article>"
+    assert set(want) <= set(main_text(f"<body><div class=story>{story}</div>{card * 3}</body>").split("\n\n"))
+    lead = "The lead tells in a sentence, or two, what the story is about."
+    assert main_text(f"<main><h1>Headline of it</h1><p>{lead}</p><article>{story}</article></main>").split("\n\n") == ["Headline of it", lead, *want]
+    for wrap in ("div class='page has-sidebar'", "div class=share", "form id=search", "div class=sidebar"):
+        tag = wrap.split()[0]
+        assert main_text(f"<body><nav>Here, there.</nav><{wrap}><article>{story}</article><div class=ad>Buy this, now.</div></{tag}></body>").split("\n\n") == want
+    widgets = "".join(f"<div class=widget>{x}</div>" for x in want)
+    assert main_text(f"<body>{widgets}<div class=comments><p>I agree, very much.</p></div></body>").split("\n\n") == want
+    assert main_text(f"<body><article>{story}</article><div>Tags</div><footer>{'Copyright, all of it. ' * 99}</footer></body>").split("\n\n") == want

@@ -3,8 +3,12 @@
 Every block of text has the path of block elements from the root to it. Per path the length outside
 links and the punctuation of all its blocks are put in relation to their number; both ratios are fused,
 smoothed over the page's order with a 1-2-1 kernel, averaged back to the path, and paths below a share of
-the best one go. All blocks of a path that stays are kept, short ones too. Elements that name themselves
-as something else than the article (navigation, footers, adverts, comments, ...) have no ratio.
+the best one go. All blocks of a path that stays are kept, short ones too.
+
+Names only weigh. Elements that name themselves as something else than the article (adverts, comments,
+forms, ...) go, unless those of one path and name carry most of the page's text outside links; a class
+counts whole (`sidebar`, not `has-sidebar`). Elements of FIRM, which HTML has for nothing else, always go. Where <article> or <main> carry most of what is left,
+the scores of paths outside both, but for <h1>, count a quarter; where they don't, they have no say.
 
 Defined results: null, empty and textless pages give empty text and 0 characters; unclosed and stray tags
 are read as browsers do for paragraphs, items and cells; repeated rows are answered each; pages of any
@@ -26,10 +30,13 @@ from tidewell.llm.batches import decoded, slices, texts
 from tidewell.session import ready
 
 SHARE = 0.1  # of the best path's score
+MOST = 0.5  # of the free text: beyond it names have no veto, and <article> and <main> a say
+OUTSIDE = 0.25  # weight of paths outside <article> and <main> where these have a say
 
 # Elements by their meaning in HTML, and words by which elements name their part of a page.
 RAW = "script|style|template|noscript|textarea|iframe|svg|object|canvas|select|title"
 BARRED_TAGS = frozenset("head nav header footer aside form button dialog menu label fieldset figcaption".split())
+FIRM = frozenset("head nav footer button menu label figcaption".split())
 BARRED_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 BARRED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert"
@@ -49,32 +56,37 @@ TOKEN = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
-WORD = re.compile(r"[a-z]+")
 SIGNS = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
 
 
-def _barred(tag: str, attrs: str) -> bool:
+def _barred(tag: str, attrs: str) -> str:
+    """By what name the element is barred; empty if it isn't."""
     if tag in BARRED_TAGS:
-        return True
+        return tag
     for m in NAMED.finditer(attrs) if attrs else ():
         name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return "hidden"
         if name == "role" and value in BARRED_ROLES:
-            return True
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main") and not BARRED_WORDS.isdisjoint(WORD.findall(value)):
-            return True
-    return False
+            return value
+        if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
+            for word in value.split():
+                if word in BARRED_WORDS:
+                    return word
+    return ""
 
 
 def _letters(text: str) -> int:
     return sum(map(len, text.split()))
 
 
-def blocks(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
-    """(path, text, characters in links without white space, barred) of every block with text, in page order."""
-    out: list[tuple[tuple[str, ...], str, int, bool]] = []
-    stack: list[tuple[str, bool]] = []  # open block elements, barred or within a barred one
+Path = tuple[tuple[str, str], ...]  # elements from the root, each with the name that bars it
+
+
+def blocks(html: str) -> list[tuple[Path, str, int]]:
+    """(path, text, characters in links without white space) of every block with text, in page order."""
+    out: list[tuple[Path, str, int]] = []
+    stack: list[tuple[str, str]] = []  # open block elements
     parts: list[str] = []
     linked = in_link = at = 0
 
@@ -82,7 +94,7 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            out.append((tuple(t for t, _ in stack), text, linked, bool(stack) and stack[-1][1]))
+            out.append((tuple(stack), text, linked))
         parts.clear()
         linked = 0
 
@@ -123,35 +135,54 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
         elif stack and stack[-1][0] == "p":
             stack.pop()  # a block ends a paragraph
         if tag not in VOID:
-            stack.append((tag, bool(stack) and stack[-1][1] or _barred(tag, m["attrs"])))
+            stack.append((tag, _barred(tag, m["attrs"])))
     put(html[at:])
     flush()
     return out
 
 
-def path_scores(found: list[tuple[tuple[str, ...], str, int, bool]]) -> dict[tuple[str, ...], float]:
-    """The smoothed fused ratio of every path of the blocks that aren't barred."""
-    sums: dict[tuple[str, ...], list[float]] = {}
-    for path, text, linked, _ in found:
-        s = sums.setdefault(path, [0, 0, 0])
+def _free(block: tuple[Path, str, int]) -> int:
+    """Characters outside links, without white space."""
+    return _letters(block[1]) - block[2]
+
+
+def path_scores(found: list[tuple[Path, str, int]]) -> dict[Path, float]:
+    """The smoothed fused ratio of every path of the blocks."""
+    sums: dict[Path, list[float]] = {}
+    for block in found:
+        s = sums.setdefault(block[0], [0, 0, 0])
         s[0] += 1
-        free = _letters(text) - linked  # characters outside links, without white space
+        free = _free(block)
         s[1] += free
-        s[2] += len(SIGNS.findall(text)) if free else 0
+        s[2] += len(SIGNS.findall(block[1])) if free else 0
     fused = {p: sqrt(length / n * (1 + signs / n)) for p, (n, length, signs) in sums.items()}
     own = [fused[b[0]] for b in found]
     smooth = [(own[max(0, k - 1)] + 2 * x + own[min(len(own) - 1, k + 1)]) / 4 for k, x in enumerate(own)]
-    total: dict[tuple[str, ...], float] = {}
+    total: dict[Path, float] = {}
     for b, x in zip(found, smooth, strict=True):
         total[b[0]] = total.get(b[0], 0.0) + x
     return {p: x / sums[p][0] if sums[p][1] else 0.0 for p, x in total.items()}
 
 
+def _not_vetoed(found: list[tuple[Path, str, int]]) -> list[tuple[Path, str, int]]:
+    """The blocks in no barred element, but for those not in FIRM whose path and name carry most of the free text."""
+    total, carried = 0, {}
+    for block in found:
+        free = _free(block)
+        total += free
+        for k, (_, name) in enumerate(block[0], 1):
+            if name:
+                carried[block[0][:k]] = carried.get(block[0][:k], 0) + free
+    vetoed = {p for p, free in carried.items() if p[-1][0] in FIRM or free <= MOST * total}
+    return [b for b in found if not any(name and b[0][:k] in vetoed for k, (_, name) in enumerate(b[0], 1))]
+
+
 def main_text(html: str, share: float = SHARE) -> str:
-    found = [b for b in blocks(html) if not b[3]]
-    inside = [b for b in found if "article" in b[0]] or [b for b in found if "main" in b[0]]
-    found = inside if sum(_letters(b[1]) - b[2] for b in inside) else found
+    found = _not_vetoed(blocks(html))
     scores = path_scores(found)
+    inside = {p for p in scores if not {"article", "main"}.isdisjoint(t for t, _ in p)}
+    if sum(_free(b) for b in found if b[0] in inside) > MOST * sum(map(_free, found)):
+        scores = {p: x if p in inside or p[-1:] and p[-1][0] == "h1" else OUTSIDE * x for p, x in scores.items()}
     least = share * max(scores.values(), default=0.0)
     return "\n\n".join(b[1] for b in found if scores[b[0]] >= least and scores[b[0]] > 0)
 
