@@ -83,6 +83,29 @@ def test_many_benchmark_blocks(spark, sf_dir, monkeypatch):
     assert sorted(map(tuple, contamination(docs, bench).collect())) == one
 
 
+def test_passages_of_many_benchmark_blocks_are_cut_at_once(spark, sf_dir, monkeypatch):
+    from tidewell.llm import decontamination as d
+
+    a, b = [f"a{k}" for k in range(1, 13)], [f"b{k}" for k in range(1, 9)]
+    items = [(1, " ".join(a)), (2, " ".join(a[4:] + b)), (3, " ".join(f"c{k}" for k in range(12)))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    # Overlapping items; a passage that a cut joins, of either item; words left without any; no hit; null.
+    joined = lambda x, y: " ".join(x[:6] + y + x[6:]) + " end."
+    texts = ["Start " + " ".join(a + b) + " end.", joined(items[0][1].split(), items[2][1].split()), joined(items[2][1].split(), items[0][1].split()), items[1][1], "No hit é.", None]
+    docs = spark.createDataFrame([(k, x, k, len(x or "")) for k, x in enumerate(texts)], "doc_id long, text string, spans int, n_chars long")
+    real, given = d.benchmark_blocks, table(spark, sf_dir, "documents")
+    whole = table(spark, sf_dir, "benchmark")
+    small, large = (sorted(decontaminate(*x).collect(), key=str) for x in ((docs, bench), (given, whole)))
+    assert {r.text for r in small} == {"Start\nend.", "end.", "No hit é.", None}
+    monkeypatch.setattr(d, "benchmark_blocks", lambda *x, **k: real(*x, **(k | {"most": 20})))
+    owner = lambda words_: {k for k, p in enumerate(d.benchmark_blocks(bench)) for i in p.items if i in words_}
+    assert len(owner({"1"}) | owner({"2"}) | owner({"3"})) > 1
+    cut = decontaminate(docs, bench)
+    assert sorted(cut.collect(), key=str) == small and contamination(cut, bench).where("contaminated").count() == 0
+    monkeypatch.setattr(d, "benchmark_blocks", lambda *x, **k: real(*x, **(k | {"most": 12_000})))
+    assert sorted(decontaminate(given, whole).collect(), key=str) == large
+
+
 def brute_components(rows):
     """(doc_id, n, component) by comparing all pairs of sets that share a shingle."""
     sets = []

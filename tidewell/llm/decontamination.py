@@ -9,7 +9,8 @@ into spans of words and bytes.
 
 A phrase is WIDTH consecutive words of a benchmark item, or all words of a shorter item. The benchmark
 goes to the executors in blocks of at most BLOCK_BYTES of text; documents pass one map for each block,
-and nothing is shuffled.
+and nothing is shuffled. Where passages are cut out, spans of all blocks are found on the same text and
+their union is cut at once; texts that were cut pass all blocks again, until none hits.
 
 Defined results: null and wordless texts have no words and no hits; null items and items without words
 have no phrase; items with the same id count as one; repeated rows are answered each; empty tables give
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.batches import slices, texts
 from tidewell.llm.textwords import ALNUM, Words, words
-from tidewell.session import ready
+from tidewell.session import materialise, ready
 
 WIDTH, STEP = 10, 8
 BLOCK_BYTES = 8 << 20
@@ -252,6 +253,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     )
 
 
+def _cut_out(text: bytes, spans: list[tuple[int, int]], starts: np.ndarray, ends: np.ndarray) -> bytes:
+    """The text without spans of its words, which begin and end at these bytes."""
+    parts, at = [], 0
+    for a, b in spans:
+        parts.append(text[at : starts[a]].rstrip(b" "))
+        at = int(ends[b - 1])
+    return b"\n".join([*parts, text[at:].lstrip(b" .,;")]).strip()
+
+
 def without(text: bytes, phrases: list[Phrases]) -> bytes:
     """The text without the spans that phrases hit, until none does."""
     while True:
@@ -260,11 +270,63 @@ def without(text: bytes, phrases: list[Phrases]) -> bytes:
         spans = merged(np.concatenate([g.first for g in got]), np.concatenate([g.last for g in got]))
         if not spans:
             return text
-        parts, at = [], 0
-        for a, b in spans:
-            parts.append(text[at : found.starts[a] - found.base[0]].rstrip(b" "))
-            at = int(found.ends[b - 1] - found.base[0])
-        text = b"\n".join([*parts, text[at:].lstrip(b" .,;")]).strip()
+        text = _cut_out(text, spans, found.starts - found.base[0], found.ends - found.base[0])
+
+
+def _encoded(part: pa.RecordBatch, at: int) -> list[bytes | None]:
+    return [None if x is None else x.encode() for x in part.column(at).to_pylist()]
+
+
+def _replaced(part: pa.RecordBatch, text_at: int, length_at: int, new: dict[int, bytes]) -> pa.RecordBatch:
+    """The batch with new texts for some rows, and their lengths made to fit; of these, rows left without a word go."""
+    columns = list(part.columns)
+    cut = {k: x.decode("utf-8", "replace") for k, x in new.items()}
+    columns[text_at] = pa.array([cut.get(k, x) for k, x in enumerate(columns[text_at].to_pylist())], columns[text_at].type)
+    if length_at >= 0:
+        columns[length_at] = pa.array([len(cut[k]) if k in cut else n for k, n in enumerate(columns[length_at].to_pylist())], columns[length_at].type)
+    left = pa.RecordBatch.from_arrays(columns, schema=part.schema)
+    return left.filter(pa.array([k not in cut or any(c.isalnum() for c in cut[k]) for k in range(part.num_rows)]))
+
+
+SPANS, CUT = "__spans", "__cut"  # word positions a, b, a, b, ... of disjoint spans; whether the row was cut
+
+
+def _spanned(docs: DataFrame, held, text_col: str) -> DataFrame:
+    """One block: docs with its spans added to those so far."""
+    text_at, spans_at = docs.columns.index(text_col), docs.columns.index(SPANS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices([batch], text_col):
+                found = words(_encoded(part, text_at), ALNUM)
+                got = hits(found, held.value)
+                spans = part.column(spans_at).to_pylist()
+                for k in np.unique(got.document).tolist():
+                    own, old = got.document == k, np.array(spans[k] or [], np.int64)
+                    first, last = got.first[own] - found.first[k], got.last[own] - found.first[k]
+                    spans[k] = [x for pair in merged(np.concatenate((old[::2], first)), np.concatenate((old[1::2], last))) for x in pair]
+                yield part.set_column(spans_at, part.schema.field(spans_at), pa.array(spans, part.schema.field(spans_at).type))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _passages_cut(docs: DataFrame, text_col: str, length_at: int) -> DataFrame:
+    """docs with their spans cut out of the text, and CUT in place of SPANS."""
+    names = docs.columns
+    text_at, spans_at = names.index(text_col), names.index(SPANS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices([batch], text_col):
+                raw, spans = _encoded(part, text_at), part.column(spans_at).to_pylist()
+                found, new = words(raw, ALNUM), {}
+                for k, row in enumerate(spans):
+                    if row:
+                        own = slice(found.first[k], found.first[k + 1])
+                        new[k] = _cut_out(raw[k], list(zip(row[::2], row[1::2], strict=True)), found.starts[own] - found.base[k], found.ends[own] - found.base[k])
+                yield _replaced(part.set_column(spans_at, CUT, pa.array([bool(x) for x in spans])), text_at, length_at, new)
+
+    return docs.mapInArrow(run, docs.drop(SPANS).withColumn(CUT, F.lit(True)).schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", length_col: str | None = "n_chars") -> DataFrame:
@@ -273,26 +335,26 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     schema, names = docs.schema, docs.columns
     text_at = names.index(text_col)
     length_at = names.index(length_col) if length_col in names else -1
-    out = docs
-    for phrases in benchmark_blocks(benchmark, item_col, text_col):
-        held = spark.sparkContext.broadcast(phrases)
+    blocks = [spark.sparkContext.broadcast(p) for p in benchmark_blocks(benchmark, item_col, text_col)]
+    if len(blocks) == 1:  # all rounds within the task
+        held = blocks[0]
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in slices([batch], text_col):
-                    raw = [None if x is None else x.encode() for x in part.column(text_at).to_pylist()]
-                    hit = set(hits(words(raw, ALNUM), held.value).document.tolist())
-                    if not hit:
-                        yield part
-                        continue
-                    columns = list(part.columns)
-                    new = [without(x, [held.value]).decode("utf-8", "replace") if k in hit else None if x is None else x.decode("utf-8", "replace") for k, x in enumerate(raw)]
-                    columns[text_at] = pa.array(new, columns[text_at].type)
-                    if length_at >= 0:
-                        old = columns[length_at].to_pylist()
-                        columns[length_at] = pa.array([len(x) if k in hit else n for k, (x, n) in enumerate(zip(new, old, strict=True))], columns[length_at].type)
-                    left = pa.RecordBatch.from_arrays(columns, schema=part.schema)
-                    yield left.filter(pa.array([k not in hit or any(c.isalnum() for c in x) for k, x in enumerate(new)]))
-
-        out = out.mapInArrow(run, schema)
-    return out
+                    raw = _encoded(part, text_at)
+                    hit = np.unique(hits(words(raw, ALNUM), held.value).document).tolist()
+                    yield _replaced(part, text_at, length_at, {k: without(raw[k], [held.value]) for k in hit}) if hit else part
+
+        return docs.mapInArrow(run, schema)
+    done, left = None, docs
+    while True:
+        left = left.withColumn(SPANS, F.lit(None).cast("array<long>"))
+        for held in blocks:
+            left = _spanned(left, held, text_col)
+        cut = materialise(_passages_cut(left, text_col, length_at), "passages")
+        whole = cut.where(f"NOT {CUT}").drop(CUT)
+        done = whole if done is None else done.unionByName(whole)
+        left = cut.where(CUT).drop(CUT)
+        if left.isEmpty():
+            return done
