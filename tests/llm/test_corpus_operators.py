@@ -160,6 +160,33 @@ def test_near_duplicates_at_the_threshold(spark):
     assert near_duplicates(df.limit(0)).count() == 0
 
 
+def test_links_within_components(spark, monkeypatch):
+    from tidewell.llm import jaccard_join as j
+
+    monkeypatch.setattr(j, "HOT_KEY", 5)  # keys of more sets are dealt over tasks
+    rng, rows = random.Random(3), [(None, None), (1, ""), (2, "one two"), (3, "ONE  two")]
+    for family in range(3):
+        base = [f"f{family}w{k}" for k in range(90)]
+        for _ in range(14):
+            w = list(base)
+            for _ in range(rng.randint(0, 3)):
+                w[rng.randrange(len(w))] = f"x{rng.random()}"
+            rows += [(len(rows), " ".join(w))] * rng.choice([1, 1, 2])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = []
+    for _, t in rows:
+        w = SPACED.findall((t or "").translate(LOWER))
+        sets.append(frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else []))
+    alike = lambda a, b: bool(a) and 4 * len(a & b) >= 3 * len(a | b)
+    want = sorted((-1 if i is None else i, sum(alike(sets[k], s) for m, s in enumerate(sets) if m != k)) for k, (i, _) in enumerate(rows))
+    got = near_duplicates(df)
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_links) for r in got.collect()) == want and max(n for _, n in want) > 8
+    assert answered(got) == answered(j.near_components(df)) == brute_components(rows)
+    _, pairs = j.set_links(df)
+    distinct = sorted(set(sets) - {frozenset()}, key=str)
+    assert pairs.count() == pairs.distinct().count() == sum(alike(a, b) for k, a in enumerate(distinct) for b in distinct[:k])
+
+
 def test_keys_find_every_link():
     rng = np.random.default_rng(2)
     counts = rng.integers(0, 50, 1 << parity.COUNT_BITS)

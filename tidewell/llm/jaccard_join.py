@@ -11,8 +11,11 @@ its sketch that the pigeonhole argument asks for, as keys. Sets that share a key
    counts at a key only if the sets share none of their LOOK_BACK keys before it; at the least key
    that two sets share that always holds.
 
-Pairs of sets in one component are never looked at, pairs of others always; so no link that could change
-a component is lost. Verification compares whole sets of 64-bit shingle hashes.
+So components look at no pairs within one, but at all others; no link that could change a component is
+lost. That is what one_of_each() takes. Links themselves (near_duplicates(), set_links()) need every pair:
+all pairs of sets at a key are compared as in step 2, whatever they belong to, and components come from
+the links. A key of many sets is dealt: one side split by a hash, the other sent to each split.
+Verification compares whole sets of 64-bit shingle hashes.
 
 Defined results: null, empty and wordless texts have no shingle and are linked with nothing; texts of
 fewer than WIDTH words are one shingle; a null id never is a component's id unless all its ids are null;
@@ -39,6 +42,8 @@ STAR_ROUNDS = 2
 BITMAP_BITS = 26  # of the filter that tells which sets are candidates; its size is fixed
 PIECES = 64  # that counts and bitmaps are summed in
 LOOK_BACK = 8
+LINKS_LOOK_BACK = 2  # where all key rows are paired and their size counts for more than a few repeated pairs
+HOT_KEY = 256  # sets of a key that one task pairs with all others of the key
 BROADCAST_PAIRS = 1_000_000  # of two numbers each
 REMEMBERED = 500_000  # set ids by which a task leaves out copies it has met
 MOST_COUNTED = (1 << 16) - 1  # counts end there: what is as common comes last in any case
@@ -256,34 +261,71 @@ def set_components(keyed: DataFrame, sets: DataFrame) -> DataFrame:
         votes = rows.groupBy(F.col("sid").alias("a"), F.col("c.sid").alias("b")).agg(F.count("*").alias("votes"))
         pairs = votes.groupBy("a").agg(F.max(F.struct("votes", "b")).alias("best")).select("a", "best.b")
         labels = materialise(_joined(labels, verified(plausible(pairs, sets), sets)), "labels")
+    pairs = _close_pairs(_labelled(keyed, labels), keyed, sets)
+    return materialise(_joined(labels, verified(pairs, sets)), "labels")
+
+
+def _close_pairs(rows: DataFrame, keyed: DataFrame, sets: DataFrame, look_back: int = LOOK_BACK) -> DataFrame:
+    """The distinct pairs (a, b), a < b, of sets of different labels that share a key, fit in size and by bit sketches."""
+    splits = keyed.groupBy("key").agg(F.ceil(F.count("*") / HOT_KEY).cast("int").alias("splits")).where("splits > 1")
     in_order = Window.partitionBy("sid").orderBy("key")
-    back = F.array(*(F.lag("key", k).over(in_order) for k in range(1, LOOK_BACK + 1)))
-    rows = _labelled(keyed, labels).join(sets.select("sid", *SKETCH), "sid").withColumn("back", back)
-    carried = ("sid", "n", "label", "back", *SKETCH)
-    x, y = (rows.select("key", *(F.col(c).alias(f"{side}_{c}") for c in carried)) for side in "ab")
+    back = F.array(*(F.lag("key", k).over(in_order) for k in range(1, look_back + 1)))
+    rows = rows.join(splits, "key", "left").withColumn("splits", F.coalesce("splits", F.lit(1)))
+    rows = rows.withColumn("back", back).join(sets.select("sid", *SKETCH), "sid")
+    # A row goes to every split of its key and leads pairs in one, so that both sides of the join read one exchange.
+    rows = rows.withColumn("split", F.explode(F.sequence(F.lit(0), F.col("splits") - 1))).withColumn("leads", F.col("split") == F.pmod(F.xxhash64("sid"), F.col("splits")))
+    carried = ("sid", "n", "label", "leads", "back", *SKETCH)
+    x, y = (rows.select("key", "split", *(F.col(c).alias(f"{side}_{c}") for c in carried)) for side in "ab")
     close = (F.col("a_sid") < F.col("b_sid")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit(F.col("a_n"), F.col("b_n")) & (7 * _apart() <= F.col("a_n") + F.col("b_n"))
     close = close & ~F.coalesce(F.arrays_overlap("a_back", "b_back"), F.lit(False))
-    pairs = x.join(y, (x["key"] == y["key"]) & close).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")).distinct()
-    return materialise(_joined(labels, verified(pairs, sets)), "labels")
+    leads = F.when(F.col("a_leads"), F.col("a_sid")).otherwise(F.lit((1 << 63) - 1)) < F.col("b_sid")  # of both sides, so that it stays in the join
+    return x.join(y, (x["key"] == y["key"]) & (x["split"] == y["split"]) & close & leads).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_shingles, component_id (the smallest id reachable by links), set_class (the component, null without shingles)."""
+def set_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(id, n, sid) of every row, where sid stands for its set of n shingles; and (a, b), a < b, of all linked pairs of distinct sets."""
     ready(docs.sparkSession)
     kept = id_and_text(docs, id_col, text_col)
     rows, clashing = document_sets(docs, id_col, text_col)
     keyed = key_rows(kept, shingle_counts(kept, clashing), clashing)
-    labels = set_components(keyed, candidate_sets(kept, keyed, clashing))
+    sets = candidate_sets(kept, keyed, clashing)
+    pairs = _close_pairs(_labelled(keyed, None), keyed, sets, LINKS_LOOK_BACK)
+    return rows, materialise(verified(pairs, sets), "links")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, n_shingles, component_id (the smallest id reachable by links), set_class (the component, null without shingles),
+    n_links (other rows that the row is linked with; copies of a set count each)."""
+    rows, links = set_links(docs, id_col, text_col)
+    copies = rows.where("n > 0").groupBy("sid").agg(F.count("*").alias("copies"))
+    both = links.select(F.col("a").alias("sid"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("sid"), F.col("a").alias("other")))
+    others = both.join(copies.withColumnRenamed("sid", "other"), "other").groupBy("sid").agg(F.sum("copies").alias("others"))
+    counted = copies.join(others, "sid", "left").select("sid", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
+    out = _by_component(rows, components(links), id_col).join(counted, "sid", "left")
+    return out.select(id_col, "n_shingles", "component_id", "set_class", F.when(F.col("n_shingles") > 0, F.col("links")).otherwise(0).alias("n_links"))
+
+
+def _by_component(rows: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
+    """Per row: id, sid, n_shingles, component_id, set_class."""
     rows = rows.join(labels.withColumnsRenamed({"node": "sid", "label": "found"}), "sid", "left")
-    rows = rows.select("id", "n", F.when(F.col("n") > 0, F.coalesce("found", "sid")).alias("class"))
+    rows = rows.select("id", "sid", "n", F.when(F.col("n") > 0, F.coalesce("found", "sid")).alias("class"))
     least = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("least"))
     out = rows.join(least, "class", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"), F.col("class").alias("set_class"))
+    return out.select(F.col("id").alias(id_col), "sid", F.col("n").alias("n_shingles"), F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"), F.col("class").alias("set_class"))
+
+
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """near_duplicates() without n_links: pairs within a component are skipped."""
+    ready(docs.sparkSession)
+    kept = id_and_text(docs, id_col, text_col)
+    rows, clashing = document_sets(docs, id_col, text_col)
+    keyed = key_rows(kept, shingle_counts(kept, clashing), clashing)
+    return _by_component(rows, set_components(keyed, candidate_sets(kept, keyed, clashing)), id_col).drop("sid")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each component, that with the smallest id. Rows equal in id and text are one document."""
-    found = near_duplicates(docs, id_col, text_col)
+    found = near_components(docs, id_col, text_col)
     keep = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__keep")).distinct()
     kept = docs.join(keep, F.col(f"`{id_col}`").eqNullSafe(F.col("__keep")), "left_semi")
     same = Window.partitionBy(f"`{id_col}`", F.xxhash64(F.col(f"`{text_col}`"))).orderBy(f"`{id_col}`")
