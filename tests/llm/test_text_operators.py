@@ -53,6 +53,25 @@ def test_count_at_every_prefix(text):
     assert counter.count(text.encode()[:fit].decode()) <= 3
 
 
+@pytest.mark.parametrize("text", [*ODD, "one\ttwo three's\r\nfour\r\n\r\n  five\xa0six", "\t\t \n \n\n\t x \t\n\n\n\n y", "東京都は日本の首都である世界最大の都市", "aGVsbG8gd29ybGQhISBoZWxsbyB3b3JsZA==" * 2, "a=+<|endoftext|>b", "x <<|endoftext|>\ty"])
+def test_fit_is_the_longest_prefix(text):
+    counter, library = PrefixCounter(BPE), Tokenizer.from_file(BPE)
+    counts = [len(library.encode(text[:k], add_special_tokens=False).ids) for k in range(len(text) + 1)]
+    for budget in range(counts[-1] + 2):
+        want = max(k for k, n in enumerate(counts) if n <= budget)
+        assert counter.fit(text, budget) == len(text[:want].encode())
+
+
+def test_fit_of_texts_in_one_unit(spark):
+    library = Tokenizer.from_file(BPE)
+    rows = [(1, "word\tand more, " * 900), (2, "東京都は日本の首都" * 400), (3, "line\r\n" * 900)]
+    for r in token_counts(spark.createDataFrame(rows, "doc_id long, text string"), BPE).collect():
+        raw = rows[r.doc_id - 1][1].encode()
+        n = lambda k: len(library.encode(raw[:k].decode(), add_special_tokens=False).ids)  # noqa: E731,B023
+        after = [k for k in range(r.fit_bytes + 1, r.fit_bytes + 40) if raw[k] & 0xC0 != 0x80]
+        assert r.over_limit and n(r.fit_bytes) <= 1024 < min(map(n, after))
+
+
 def test_sentencepiece(spark, odd_docs, sf_dir):
     theirs = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     ours = Codec(PIECES)

@@ -98,11 +98,15 @@ class PrefixCounter:
         of_unit = self.of_unit
         return sum(1 if special else sum([of_unit[u] for u in units(part)]) for part, special in self.segments(text))
 
-    def _unit_table(self, unit: str) -> list[int]:
+    def _unit_table(self, unit: str, most: int | None = None) -> list[int]:
         """Counts at every byte of a unit as if the text ended there. Two kinds of piece depend on what follows:
-        contractions (cut short they're a quote and letters) and white space (its last one goes to the next piece)."""
-        out, base, pieces = [], 0, self.pattern.findall(unit)
+        contractions (cut short they're a quote and letters) and white space (its last one goes to the next piece).
+        Given `most`, the table ends with the last piece in which a count may be within it."""
+        out, base, before, pieces = [], 0, 0, self.pattern.findall(unit)
         for k, piece in enumerate(pieces):
+            if most is not None and before > most:
+                break
+            before = base
             counts = self.of_piece[piece]
             inner = counts[1:]
             if piece in CONTRACTIONS and len(piece) > 2:
@@ -111,9 +115,8 @@ class PrefixCounter:
             out += [base + c for c in inner]
             if k and pieces[k - 1].isspace() and piece[0].isspace():
                 run = pieces[k - 1] + piece[0]
-                before = base - self.of_piece[pieces[k - 1]][-1]
                 width = len(piece[0].encode())
-                out[at + width - 1] = before + self.of_piece[run][-1]
+                out[at + width - 1] = base - self.of_piece[pieces[k - 1]][-1] + self.of_piece[run][-1]
             base += counts[-1]
         return out
 
@@ -133,15 +136,34 @@ class PrefixCounter:
         return np.concatenate(parts)
 
     def fit(self, text: str, budget: int) -> int:
-        """Bytes of the longest run of whole units whose tokens keep within the budget."""
+        """Bytes of the longest prefix, up to a character's end, whose exact count is within the budget.
+
+        A prefix that ends in a unit has at least one token more than the units before, so only the unit that
+        overflows can hold it, or a special token cut short right after that unit."""
         used = taken = 0
+        before, over, best = "", False, 0
         for part, special in self.segments(text):
             for unit in [part] if special else units(part):
-                used += 1 if special else self.of_unit[unit]
-                if used > budget:
-                    return taken
-                taken += len(unit.encode("utf-8", "replace"))
-        return taken
+                if over and not special:
+                    return best
+                raw = unit.encode("utf-8", "replace")
+                count = 1 if special else self.of_unit[unit]
+                if over or used + count > budget:
+                    if special:
+                        whole = used - (self.of_unit[before] if before else 0)
+                        table = [whole + self.of_unit[before + part[:k]] for k in range(1, len(part))]
+                    else:
+                        table = [used + x for x in self._unit_table(unit, budget - used)]
+                    ends = (k for k in range(len(table), 0, -1) if table[k - 1] <= budget and (k == len(raw) or raw[k] & 0xC0 != 0x80))
+                    inside = next(ends, 0)
+                    best = taken + inside if inside or not over else best
+                    if special:
+                        return best
+                    over = True
+                else:
+                    best = taken + len(raw)
+                used, taken, before = used + count, taken + len(raw), "" if special else unit
+        return best
 
 
 @lru_cache(maxsize=2)
@@ -150,7 +172,7 @@ def counter(path: str) -> PrefixCounter:
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_bytes, n_tokens, over_limit, fit_bytes (bytes of whole units within the limit; all if not over)."""
+    """Per row: id, n_bytes, n_tokens, over_limit, fit_bytes (bytes of the longest prefix within the limit, up to a character's end; all if not over)."""
     ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
