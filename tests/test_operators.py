@@ -106,6 +106,25 @@ def test_nearest(spark):
     assert nearest(q, t.limit(0), 2, "q", "v", "t", "w").count() == 0
 
 
+def test_nearest_streams_training_rows(spark, monkeypatch):
+    import numpy as np
+
+    from tidewell.operators import vectors
+
+    x = np.random.default_rng(1).normal(size=(90, 4)).astype(np.float32).astype(float)
+    t = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "t long, w array<double>").repartition(5)
+    q = t.where("t % 10 = 0").withColumnsRenamed({"t": "q", "w": "v"})
+    seen, kind, real = [], type(t), type(t).collect
+    monkeypatch.setattr(vectors, "MOST_QUERY_BYTES", 100, raising=False)
+    monkeypatch.setattr(kind, "toPandas", lambda df: pytest.fail("a whole table goes to the driver"))
+    monkeypatch.setattr(kind, "collect", lambda df: seen.append(real(df)) or seen[-1])
+    got = real(nearest(q, t, 3, "q", "v", "t", "w", block=7))
+    assert len(seen) > 1 and sum(map(len, seen)) <= 10  # 9 queries and a row of counts
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    want = {(a, r + 1, int(b)) for a in range(0, 90, 10) for r, b in enumerate(np.argsort(1 - unit[a] @ unit.T, kind="stable")[:3])}
+    assert {(r.q, r["rank"], r.t) for r in got} == want and len(got) == 27
+
+
 def test_sources(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("occurrence.txt", "gbifID\tname\n1\tx\n2\ty\n")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewell.session import ready
 
-MOST_TRAINING_BYTES = 256 << 20
+MOST_QUERY_BYTES = 64 << 20
 
 
 def channel_ranges(df: DataFrame, vector: str) -> DataFrame:
@@ -59,39 +59,51 @@ def projected(df: DataFrame, vector: str, mean: np.ndarray, components: np.ndarr
     return df.withColumns({f"{name}_{k}": dot(w) for k, w in enumerate(components)})
 
 
-def nearest(queries: DataFrame, training: DataFrame, k: int, query_id: str, vector: str, training_id: str, training_vector: str, block: int = 4096) -> DataFrame:
+def nearest(queries: DataFrame, training: DataFrame, k: int, query_id: str, vector: str, training_id: str, training_vector: str, block: int = 1024) -> DataFrame:
     """(query_id, rank from 1, training_id, distance): the k nearest by cosine distance, ties by id.
 
-    The training rows go to every task in blocks of a bounded size; each pass keeps k rows a query, and the
-    passes are merged by rank. Zero and null vectors have no neighbours and are none.
+    The queries go to every task in blocks of a bounded size, and training rows stream past them, `block` at a
+    time; a task keeps k rows a query, and the tasks' rows are merged by rank. Zero and null vectors have no
+    neighbours and are none.
     """
     spark = ready(queries.sparkSession)
-    rows = training.select(F.col(training_id).cast("long").alias("id"), F.col(training_vector).cast("array<float>").alias("v")).where("v IS NOT NULL AND id IS NOT NULL")
-    n, size = rows.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
-    blocks = max(1, -(-n * size * 4 // MOST_TRAINING_BYTES))
+    rows = training.select(F.col(training_id).cast("long").alias("id"), F.col(training_vector).cast("array<float>").cast("array<double>").alias("v")).where("v IS NOT NULL AND id IS NOT NULL")
+    asked = queries.select(F.col(query_id).cast("long").alias("q"), F.col(vector).cast("array<double>").alias("v")).where("v IS NOT NULL")
+    n, size = asked.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
+    blocks = max(1, -(-n * size * 8 // MOST_QUERY_BYTES))
     out = None
     for b in range(blocks):
-        part = rows.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b) if blocks > 1 else rows
-        local = part.toPandas().sort_values("id")  # at most about MOST_TRAINING_BYTES
-        matrix = np.array(local["v"].tolist(), np.float64).reshape(len(local), size)
-        norms = np.linalg.norm(matrix, axis=1) if len(local) else np.empty(0)
-        held = spark.sparkContext.broadcast((local["id"].to_numpy()[norms > 0], matrix[norms > 0] / norms[norms > 0][:, None] if len(local) else matrix))
+        part = asked.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == b) if blocks > 1 else asked
+        local = [(r.q, r.v) for r in part.collect() if any(r.v)]  # at most about MOST_QUERY_BYTES of numbers
+        x = np.array([v for _, v in local], np.float64).reshape(len(local), -1 if local else size)
+        held = spark.sparkContext.broadcast(([q for q, _ in local], x / np.linalg.norm(x, axis=1)[:, None]))
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            ids, known = held.value
+            asked_ids, x = held.value
+            if not asked_ids:
+                return
+            best, near = np.empty((len(x), 0), np.int64), np.empty((len(x), 0))
             for batch in batches:
                 for at in range(0, batch.num_rows, block):
                     piece = batch.slice(at, block)
-                    pairs = [(q, v) for q, v in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True) if v is not None and any(v)]
-                    if not pairs or not len(ids):
+                    known = [(i, v) for i, v in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True) if any(v)]
+                    if not known:
                         continue
-                    x = np.array([v for _, v in pairs], np.float64)
-                    distance = 1 - (x / np.linalg.norm(x, axis=1)[:, None]) @ known.T
-                    order = np.lexsort((np.broadcast_to(ids, distance.shape), distance), axis=1)[:, :k]
-                    m = order.shape[1]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat([q for q, _ in pairs], m)), pa.array(ids[order].ravel()), pa.array(np.take_along_axis(distance, order, 1).ravel())], ["q", "t", "distance"])
-
-        found = queries.select(F.col(query_id).cast("long"), F.col(vector).cast("array<double>")).mapInArrow(run, "q long, t long, distance double")
+                    t = np.array([v for _, v in known], np.float64)
+                    t, ids = (t / np.linalg.norm(t, axis=1)[:, None]).T, np.array([i for i, _ in known], np.int64)
+                    kept = []
+                    for a in range(0, len(x), block):  # at most block x block distances at once
+                        distance = np.concatenate((near[a : a + block], 1 - x[a : a + block] @ t), 1)
+                        every = np.concatenate((best[a : a + block], np.broadcast_to(ids, (len(distance), len(ids)))), 1)
+                        order = np.lexsort((every, distance), axis=1)[:, :k]
+                        kept.append((np.take_along_axis(every, order, 1), np.take_along_axis(distance, order, 1)))
+                    best, near = (np.concatenate(c) for c in zip(*kept, strict=True))
+            m = best.shape[1]
+            for a in range(0, len(x) if m else 0, block):
+                asked_here = [q for q in asked_ids[a : a + block] for _ in range(m)]
+                yield pa.RecordBatch.from_arrays([pa.array(asked_here, pa.int64()), pa.array(best[a : a + block].ravel()), pa.array(near[a : a + block].ravel())], ["q", "t", "distance"])
+
+        found = rows.mapInArrow(run, "q long, t long, distance double")
         out = found if out is None else out.unionByName(found)
     from tidewell.operators.relational import top_per_group
 
