@@ -137,6 +137,35 @@ def test_chunk_store(spark, odd_docs, sf_dir):
     assert chunk_store.verified(spark, chunk_store.write(odd_docs.limit(0), BPE)).count() == 0
 
 
+def test_ids_by_units():
+    import random
+
+    from tokenizers import Tokenizer
+
+    ours, library = chunk_store.encoder(BPE), Tokenizer.from_file(BPE)
+    rng, signs = random.Random(1), list(" \n\n  ab.,'s1é中\t!$\x01") + [" word", "<|endoftext|>"]
+    for text in ["", "a\n\n\nb  ", "***. x", "\x01 a", "中文 字。ab", *("".join(rng.choices(signs, k=rng.randint(0, 14))) for _ in range(3000))]:
+        assert np.frombuffer(ours.encode(text), ours.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_chunk_store_finds_lost_chunks(spark):
+    from pyspark.sql import functions as F
+
+    words_ = [" ".join(f"w{k * k % (997 + d)}" for k in range(6000)) for d in range(3)]
+    store = chunk_store.write(spark.createDataFrame(list(enumerate(words_, 1)), "doc_id long, text string"), BPE)
+    whole = {r.doc_id: r for r in chunk_store.verified(spark, store).collect()}
+    assert all(r.intact and r.n_chunks > 1 for r in whole.values())
+    chunks = spark.read.parquet(store.chunks)
+    # One chunk of document 1 and all of document 2 are gone; document 3's recipe is cut short.
+    gone = chunks.where("id = 1").groupBy().agg(F.min("digest").alias("d")).first().d
+    chunks.where((F.col("digest") != F.lit(gone)) & (F.col("id") != 2)).write.parquet(store.chunks + "-lost")
+    recipes = spark.read.parquet(store.recipes)
+    recipes.withColumn("parts", F.when(F.col("id") == 3, F.slice("parts", 1, F.size("parts") - 1)).otherwise(F.col("parts"))).write.parquet(store.recipes + "-short")
+    got = {r.doc_id: r for r in chunk_store.verified(spark, chunk_store.Store(store.chunks + "-lost", store.recipes + "-short")).collect()}
+    assert sorted(got) == [1, 2, 3] and not any(r.intact for r in got.values())
+    assert 0 < got[1].n_tokens < whole[1].n_tokens and got[2].n_tokens == 0 and got[3].n_tokens < whole[3].n_tokens
+
+
 def test_chunk_store_finds_damage(spark):
     docs = spark.createDataFrame([(1, "one two"), (2, "three")], "doc_id long, text string")
     store = chunk_store.write(docs, BPE)
@@ -152,7 +181,7 @@ def test_shared_passages_share_chunks():
     streams = [np.concatenate([a, passage]), np.concatenate([b, passage])]
     chunks = []
     for s in streams:
-        cuts = chunk_store.cut_points(s.astype("<u2"), np.array([0]), np.array([len(s)]))[0]
+        cuts = chunk_store.cut_points(s.astype("<u2"), np.array([0]), np.array([len(s)]))[0].tolist()
         chunks.append({s[x:y].tobytes() for x, y in zip([0, *cuts], cuts)})
         assert cuts[-1] == len(s) and max(np.diff([0, *cuts])) <= chunk_store.MOST
     assert len(chunks[0] & chunks[1]) >= 4

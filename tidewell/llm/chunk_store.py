@@ -21,8 +21,8 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -36,96 +36,78 @@ from tokenizers import Tokenizer
 
 from tidewell.llm.batches import decoded, id_and_text, slices, texts
 from tidewell.llm.textwords import mix
-from tidewell.llm.units import RARE_SPACE, Memo, units
+from tidewell.llm.token_counts import byte_letters
+from tidewell.llm.units import FIRST, LATIN, PIECES, WORD, Memo, keys, unit_of
 from tidewell.session import fresh_path, materialise, ready
 
 END = 2
 WINDOW, LEAST, MEAN_BITS, MOST = 8, 64, 9, 4096
 COPIES_BYTES = 16 << 20  # of ids that a task keeps for exact copies of texts
 POLYNOMIAL = 0xEDB88320  # of crc32, lowest power first
+SENT = 200_000  # digests whose ids a task knows to have sent
+CUT = regex.compile(PIECES)
+LETTER_OF = {b: x for x, b in byte_letters().items()}
+BLANK = LETTER_OF[32]
 
 
 class Encoder:
-    """Ids as bytes. Each unit of text is encoded by the library once while it's remembered."""
+    """Ids as bytes. A word with what stands around it, and each piece of these, is encoded once while it's remembered."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special = {s: np.array([i], self.dtype).tobytes() for s, i in added.items()}
         self.parts = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
-        self.of_unit = Memo(lambda u: np.array(self.tokenizer.encode(u, add_special_tokens=False).ids, self.dtype).tobytes(), most=800_000)
-
-    def learn(self, found: set[str]) -> None:
-        """Remembers units that are new. Those that begin with white space and end without are encoded many as one text, and its tokens taken apart by place."""
-        memo = self.of_unit
-        if len(memo) + len(found) > memo.most:
-            memo.aside = dict(memo)
-            memo.clear()
-        new = found.difference(memo)  # all, if entries were set aside just now
-        again = new & memo.aside.keys()
-        memo.update((u, memo.aside[u]) for u in again)
-        words, others = [], []
-        for unit in new - again:
-            if len(unit) > memo.longest:
-                continue
-            if unit[0] == " " and unit[1:].isalpha():
-                words.append(unit)
-            elif unit[0] in " \n" and unit[-1] not in " \n" and not RARE_SPACE.search(unit):
-                others.append(unit)
-        width = self.dtype.itemsize
-        for some, plain in [(words[k : k + 4096], True) for k in range(0, len(words), 4096)] + [(others[k : k + 4096], False) for k in range(0, len(others), 4096)]:
-            got = self.tokenizer.encode("".join(some), add_special_tokens=False)
-            data = np.array(got.ids, self.dtype).tobytes()
-            if plain:  # a piece each
-                cuts = [0, *((np.flatnonzero(np.diff(np.array(got.word_ids))) + 1) * width).tolist(), len(data)]
-            else:
-                starts = np.fromiter((a for a, _ in got.offsets), np.int64, len(got.ids))
-                cuts = [0, *(np.searchsorted(starts, np.cumsum([len(u) for u in some])) * width).tolist()]
-            if len(cuts) != len(some) + 1:  # a letter here that isn't one to the library: each by itself, when asked for
-                continue
-            memo.update(zip(some, [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
-
-    def encode(self, many: list[str]) -> list[bytes]:
-        memo, docs, gaps = self.of_unit, [], {}
-        for text in many:
-            special = self.parts is not None and any(s in text for s in self.special)
-            parts = []
-            for x in (self.parts.split(text) if special else [text]) if text else ():
-                if x in self.special:
-                    parts.append([self.special[x]])
-                elif x:
-                    own = units(x)
-                    ids = list(map(memo.get, own))
-                    if None in ids:
-                        gaps[len(docs), len(parts)] = [(k, own[k]) for k, v in enumerate(ids) if v is None]
-                    parts.append(ids)
-            docs.append(parts)
-        self.learn({u for gap in gaps.values() for _, u in gap})
-        for (doc, part), gap in gaps.items():
-            ids = docs[doc][part]
-            for k, unit in gap:
-                ids[k] = memo[unit]
-        return [b"".join([b"".join(ids) for ids in parts]) for parts in docs]
+        self.of_key = Memo(self._of_key, most=600_000)
+        self.kind = "H" if self.dtype.itemsize == 2 else "I"
+        self.stops = {x: self._of_piece(x) for x in ".,"}  # a piece of their own after a letter
+
+    def _of_key(self, key: str) -> bytes:
+        if key.isascii() and key.isalpha():
+            return self._of_piece(BLANK + key)
+        if key[-1] in self.stops and key[:-1].isalpha() and WORD.fullmatch(key, 0, len(key) - 1):
+            return self.of_key[key[:-1]] + self.stops[key[-1]]
+        unit = unit_of(key)
+        if WORD.fullmatch(unit):
+            return self._of_piece(unit.encode().decode("latin-1").translate(LETTER_OF))
+        if LATIN.fullmatch(unit):  # several pieces, that Unicode's versions can't differ on
+            found = CUT.findall(unit)
+            if len(found) > 1:
+                return b"".join([self.of_key[x[1:] if x[0] == " " and x != " " else FIRST + x] for x in found])
+            return self._of_piece(unit.encode().decode("latin-1").translate(LETTER_OF))
+        return array(self.kind, self.tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
+
+    def _of_piece(self, letters: str) -> bytes:
+        """Of what the pre-tokeniser leaves whole, in letters that stand for bytes."""
+        return array(self.kind, [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.of_key.__getitem__, keys(text)))
+
+    def encode(self, text: str) -> bytes:
+        if self.parts is None or not any(s in text for s in self.special):
+            return self._plain(text)
+        return b"".join([self.special.get(x) or self._plain(x) for x in self.parts.split(text) if x])
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks have the cores
     return Encoder(path)
 
 
-def cut_points(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
-    """For each document ids[start:end] the positions where its chunks end."""
+def cut_points(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the chunks of all documents ids[start:end] end, and the number of chunks of each."""
     n = len(ids) - WINDOW + 1
     rolled = np.zeros(max(n, 0), np.uint64)
     own = mix(ids.astype(np.uint64))
     for k in range(WINDOW if n > 0 else 0):
         rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + own[k : k + n]
     marks = np.flatnonzero(mix(rolled) & np.uint64((1 << MEAN_BITS) - 1) == 0) + WINDOW  # a chunk may end before this position
-    out = []
+    cuts, counts = [], []
     for a, b, i, j in zip(starts.tolist(), ends.tolist(), np.searchsorted(marks, starts).tolist(), np.searchsorted(marks, ends).tolist(), strict=True):
-        cuts, at = [], a
+        before, at = len(cuts), a
         for mark in marks[i:j].tolist():
             while mark - at > MOST:
                 at += MOST
@@ -138,8 +120,8 @@ def cut_points(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[li
             cuts.append(at)
         if b > at:
             cuts.append(b)
-        out.append(cuts)
-    return out
+        counts.append(len(cuts) - before)
+    return np.array(cuts, np.int64), np.array(counts, np.int64)
 
 
 def merkle_root(digests: list[bytes]) -> bytes:
@@ -188,33 +170,39 @@ def chunked(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: s
         last = np.array([end], e.dtype).tobytes()
         width = e.dtype.itemsize
         for batch in slices(batches, most=1 << 20):
-            raw = texts(batch)
-            keys = [hashlib.blake2b(x or b"", digest_size=16).digest() for x in raw]
-            new = {k: x for k, x in zip(keys, raw, strict=True) if k not in copies}
-            if held > COPIES_BYTES:
-                new, copies, held = dict(zip(keys, raw, strict=True)), {}, 0
-            for k, x in zip(new, e.encode([decoded(x) for x in new.values()]), strict=True):
-                copies[k] = x + last
-                held += len(x)
-            streams = [copies[k] for k in keys]
-            ends = np.cumsum([len(x) // width for x in streams])
-            starts = np.concatenate(([0], ends[:-1]))
+            streams = []
+            for x in texts(batch):
+                key = hashlib.blake2b(x or b"", digest_size=16).digest()
+                ids = copies.get(key)
+                if ids is None:
+                    ids = e.encode(decoded(x)) + last
+                    if held > COPIES_BYTES:
+                        copies, held = {}, 0
+                    copies[key] = ids
+                    held += len(ids)
+                streams.append(ids)
+            totals = np.array([len(x) // width for x in streams])
+            starts = np.cumsum(totals) - totals
             data = b"".join(streams)
-            rows = []
-            for row, key, a, b, cuts in zip(batch.column("row").to_pylist(), batch.column("id").to_pylist(), starts.tolist(), ends.tolist(), cut_points(np.frombuffer(data, e.dtype), starts, ends), strict=True):
-                at, own = a, []
-                for seq, cut in enumerate(cuts):
-                    ids = data[at * width : cut * width]
-                    digest = hashlib.sha256(ids).digest()
-                    own.append([row, key, seq, at - a, b - a, digest, cut - at, None if digest in sent else ids, None])
-                    if digest not in sent:
-                        if len(sent) > 200_000:
-                            sent.clear()
-                        sent[digest] = None
-                    at = cut
-                own[0][-1] = merkle_root([x[5] for x in own])
-                rows += own
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+            to, counts = cut_points(np.frombuffer(data, e.dtype), starts, starts + totals)
+            since = np.concatenate(([0], to[:-1]))
+            pieces = [data[a:b] for a, b in zip((since * width).tolist(), (to * width).tolist(), strict=True)]
+            digests = [hashlib.sha256(x).digest() for x in pieces]
+            if len(sent) > SENT:
+                sent.clear()
+            once: list[bytes | None] = []
+            for digest, x in zip(digests, pieces, strict=True):
+                once.append(None if digest in sent else x)
+                sent[digest] = None
+            heads = np.cumsum(counts) - counts
+            roots: list[bytes | None] = [None] * len(pieces)
+            for a, n in zip(heads.tolist(), counts.tolist(), strict=True):
+                roots[a] = merkle_root(digests[a : a + n])
+            of = np.repeat(np.arange(batch.num_rows), counts)
+            columns = [
+                batch.column("row").take(pa.array(of)), batch.column("id").take(pa.array(of)), np.arange(len(of)) - heads[of], since - starts[of], totals[of], digests, to - since, once, roots,
+            ]
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
     keyed = id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
     return keyed.mapInArrow(run, "row long, id long, seq int, at long, total long, digest binary, n int, ids binary, root binary")
@@ -248,43 +236,55 @@ def write(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
 
 
 def read_chunks(spark: SparkSession, store: Store) -> DataFrame:
-    """digest, ids, crc (of the ids as 32-bit numbers), intact (the digest is that of the ids read)."""
-    names = ["digest", "crc", "intact"]
+    """digest, stored (the number of ids read), crc (of the ids as 32-bit numbers), intact (the digest is that of the ids read)."""
+    names = ["digest", "stored", "crc", "intact"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "ids"):
-            ids = texts(batch, "ids")
-            # The width of a stored id follows from its number of bytes.
-            crc = [zlib.crc32(np.frombuffer(x, f"<u{len(x) // n}").astype("<u4").tobytes()) for x, n in zip(ids, batch.column("n").to_pylist(), strict=True)]
+            ids, widths = texts(batch, "ids"), batch.column("width").to_pylist()
+            wide = [np.frombuffer(x[: len(x) // w * w], f"<u{w}").astype("<u4") for x, w in zip(ids, widths, strict=True)]
+            crc = [zlib.crc32(x) for x in wide]
             intact = [hashlib.sha256(x).digest() == d for x, d in zip(ids, batch.column("digest").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(crc, pa.int64()), pa.array(intact, pa.bool_())], names)
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array([len(x) for x in wide], pa.int64()), pa.array(crc, pa.int64()), pa.array(intact, pa.bool_())], names)
 
-    stored = spark.read.parquet(store.chunks).where("ids IS NOT NULL").select("digest", "n", "ids")
-    return stored.mapInArrow(run, "digest binary, crc long, intact boolean")
+    width = F.when(F.octet_length("ids") >= 4 * F.col("n"), 4).otherwise(2)
+    stored = spark.read.parquet(store.chunks).where("ids IS NOT NULL").select("digest", width.alias("width"), "ids")
+    return stored.mapInArrow(run, "digest binary, stored long, crc long, intact boolean")
 
 
 def verified(spark: SparkSession, store: Store, id_col: str = "doc_id") -> DataFrame:
-    """Reads the store back. Per document: id, start, n_tokens, ids_crc32, n_chunks, root (hex), intact (all digests and the root hold)."""
+    """Reads the store back. Per document of the recipes: id, start, n_tokens and ids_crc32 (of the ids read), n_chunks, root (hex),
+    intact (each chunk is there, has its digest and its length, they follow one another without gaps, and the root is theirs).
+    """
     recipes = spark.read.parquet(store.recipes)
-    uses = recipes.select("row", "total", F.explode("parts").alias("part")).select("row", "part.digest", (4 * (F.col("total") - F.col("part.at") - F.col("part.n"))).alias("after"))
+    uses = recipes.select("row", "total", F.explode("parts").alias("part")).select("row", "part.digest", "part.n", (4 * (F.col("total") - F.col("part.at") - F.col("part.n"))).alias("after"))
 
     def shift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             term = crc_shifted(batch.column("crc").to_numpy(), batch.column("after").to_numpy())
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(term.astype(np.int64)), batch.column("intact")], ["row", "term", "intact"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(term.astype(np.int64)), batch.column("stored"), batch.column("holds")], ["row", "term", "stored", "holds"])
 
-    terms = uses.join(read_chunks(spark, store), "digest").select("row", "crc", "after", "intact").mapInArrow(shift, "row long, term long, intact boolean")
-    sums = terms.groupBy("row").agg(F.bit_xor("term").alias("ids_crc32"), F.bool_and("intact").alias("chunks_hold"))
-    names = ["row", "id", "start", "total", "n_chunks", "root", "root_holds"]
+    read = uses.join(read_chunks(spark, store), "digest", "left")
+    holds = F.coalesce(F.col("intact") & (F.col("stored") == F.col("n")), F.lit(False)).alias("holds")
+    found = read.select("row", F.coalesce("crc", F.lit(0)).alias("crc"), "after", F.coalesce("stored", F.lit(0)).cast("long").alias("stored"), holds)
+    terms = found.mapInArrow(shift, "row long, term long, stored long, holds boolean")
+    sums = terms.groupBy("row").agg(F.bit_xor("term").alias("crc"), F.sum("stored").alias("n_tokens"), F.bool_and("holds").alias("chunks_hold"))
+    names = ["row", "id", "start", "n_chunks", "root", "root_holds"]
 
     def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts, stored = batch.column("parts").to_pylist(), batch.column("root").to_pylist()
-            holds = [merkle_root([p["digest"] for p in own]) == r for own, r in zip(parts, stored, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("row", "id", "start", "total")), pa.array([len(p) for p in parts], pa.int64()), pa.array([r.hex() for r in stored], pa.string()), pa.array(holds, pa.bool_())], names)
-
-    checked = recipes.select("row", "id", "start", "total", "parts", "root").mapInArrow(roots, "row long, id long, start long, total long, n_chunks long, root string, root_holds boolean")
-    return checked.join(sums, "row").select(F.col("id").alias(id_col), "start", F.col("total").alias("n_tokens"), "ids_crc32", "n_chunks", "root", (F.col("chunks_hold") & F.col("root_holds")).alias("intact"))
+            holds = []
+            for own, total, root in zip(batch.column("parts").to_pylist(), batch.column("total").to_pylist(), batch.column("root").to_pylist(), strict=True):
+                at = 0
+                for p in own:
+                    at = at + p["n"] if p["at"] == at else -1
+                holds.append(bool(own) and at == total and merkle_root([p["digest"] for p in own]) == root)
+            count = pa.array([len(p) for p in batch.column("parts").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("row", "id", "start")), count, pa.array([x and x.hex() for x in batch.column("root").to_pylist()], pa.string()), pa.array(holds, pa.bool_())], names)
+
+    checked = recipes.select("row", "id", "start", "total", "parts", "root").mapInArrow(roots, "row long, id long, start long, n_chunks long, root string, root_holds boolean")
+    hold = F.coalesce(F.col("chunks_hold") & F.col("root_holds"), F.lit(False))
+    return checked.join(sums, "row", "left").select(F.col("id").alias(id_col), "start", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), F.coalesce("crc", F.lit(0)).alias("ids_crc32"), "n_chunks", "root", hold.alias("intact"))
 
 
 def reconstructed(spark: SparkSession, store: Store, id_col: str = "doc_id") -> DataFrame:

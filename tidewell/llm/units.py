@@ -23,6 +23,29 @@ def units(text: str) -> list[str]:
     return [text] if RARE_SPACE.search(text) else UNIT.findall(text)
 
 
+FIRST = "\x01"  # begins the keys of units that don't begin with one blank and a sign
+WORD = re.compile(f" ?[{LETTERS}]+")
+LATIN = re.compile("[ \n!-~¡-¬®-ÿ]*")
+
+
+def keys(text: str) -> list[str]:
+    """The text's units as keys of a memo: cut at each blank, which they go without, and before each line feed.
+
+    Only where white space never stands in runs or last is that so simple; else units() cuts.
+    """
+    if not text:
+        return []
+    if FIRST in text or RARE_SPACE.search(text):
+        return [FIRST + text]
+    if text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
+        return [u[1:] if u[0] == " " and u[1:2] not in ("", " ", "\n") else FIRST + u for u in UNIT.findall(text)]
+    return (FIRST + text if text[0] != " " else text[1:]).replace("\n", " \x01\n").split(" ")
+
+
+def unit_of(key: str) -> str:
+    return key[1:] if key[0] == FIRST else " " + key
+
+
 class Memo(dict):
     """unit -> value. Bounded: at `most` entries these are set aside, in place of those set aside before,
     and taken up again when they're met. What is forgotten costs time, never results."""
