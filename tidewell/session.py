@@ -30,6 +30,16 @@ def build(cpus: int | str = "*", app: str = "tidewell", **conf: str) -> SparkSes
 BATCH_ROWS = "2000"
 ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
+#: What Python workers start with: freed memory goes back to the system at once, be it numpy's, Arrow's or a
+#: tokenizer thread's, as workers live on from job to job; and tokenizers take two threads, as tasks have the other cores.
+WORKERS = {
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": "1048576",
+    "MALLOC_TRIM_THRESHOLD_": "4194304",
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "RAYON_NUM_THREADS": "2",
+}
+
 
 def ready(spark: SparkSession) -> SparkSession:
     """Lets Python workers import this package wherever the driver was started, and keeps their memory low.
@@ -40,7 +50,8 @@ def ready(spark: SparkSession) -> SparkSession:
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if PACKAGE_ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *filter(None, paths)])
-    env.setdefault("MALLOC_ARENA_MAX", "2")  # else each thread of a tokenizer keeps freed memory of its own
+    for name, value in WORKERS.items():
+        env.setdefault(name, value)
     if spark.conf.get(ROWS_SETTING) == "10000":
         spark.conf.set(ROWS_SETTING, BATCH_ROWS)
     return spark
