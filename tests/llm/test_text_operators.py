@@ -75,8 +75,14 @@ def test_fit_of_texts_in_one_unit(spark):
 def test_sentencepiece(spark, odd_docs, sf_dir):
     theirs = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     ours = Codec(PIECES)
-    ids, same = ours.encode(ODD)
-    assert [array("I", x).tolist() for x in ids] == theirs.encode(ODD) and all(same)
+    rng, signs = random.Random(2), [*" \n  ab.▁é中\t\x01😀", " word", "</s>", "<unk>", "\ufffd"]
+    odd = [*ODD, *("".join(rng.choices(signs, k=rng.randint(0, 12))) for _ in range(2000))]
+    ids, same, restored = ours.encode(odd)
+    assert [array("I", x).tolist() for x in ids] == theirs.encode(odd) and all(same)
+    assert restored == [ours.decode(x) == text for x, text in zip(ids, odd, strict=True)] and not all(restored)
+    ours.MOST = 300  # so that cuts are set aside and met again
+    assert [ours.encode([x])[0][0] for x in odd] == ids
+    ids = ids[: len(ODD)]
     assert [ours.decode(x) for x in ids] == theirs.decode(theirs.encode(ODD))
     report = encoding_report(odd_docs, PIECES).collect()
     assert len(report) == odd_docs.count() and all(r.same_ids for r in report)
@@ -138,10 +144,6 @@ def test_chunk_store(spark, odd_docs, sf_dir):
 
 
 def test_ids_by_units():
-    import random
-
-    from tokenizers import Tokenizer
-
     ours, library = chunk_store.encoder(BPE), Tokenizer.from_file(BPE)
     rng, signs = random.Random(1), list(" \n\n  ab.,'s1é中\t!$\x01") + [" word", "<|endoftext|>"]
     for text in ["", "a\n\n\nb  ", "***. x", "\x01 a", "中文 字。ab", *("".join(rng.choices(signs, k=rng.randint(0, 14))) for _ in range(3000))]:

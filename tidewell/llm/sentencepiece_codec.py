@@ -7,8 +7,8 @@ unigram models the piece scores are the model. For byte-pair models they order t
 to a piece, the higher score first.
 
 Text is cut before each run of markers, where no piece can reach across (checked against the
-vocabulary); distinct cuts are encoded in multithreaded batches and remembered, and each is held against
-the sentencepiece library once when first met.
+vocabulary); distinct cuts are encoded in multithreaded batches and remembered. When a cut is learned its
+ids are held against the sentencepiece library, and what they decode to against the cut.
 
 Defined results: null text is empty and has no ids; repeated rows are answered each; whole texts,
 whatever their length; extra columns are ignored.
@@ -29,14 +29,16 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
-from tokenizers import Regex, Tokenizer, decoders, models, normalizers
+from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
 from tidewell.llm.batches import decoded, id_and_text, slices, texts
+from tidewell.llm.units import FIRST
 from tidewell.session import ready
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6  # types of pieces
 UNIGRAM, BPE = 1, 2
+TOGETHER = 500  # cuts in one text of a batch
 
 
 def proto_fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -123,9 +125,13 @@ def backend(model: ModelFile, prefixed: bool = False) -> Tokenizer:
 
 
 class Codec:
-    """encode() and decode() of whole texts. Only the cutting is ours; the pieces are the library's."""
+    """encode() and decode() of whole texts. Only the cutting is ours; the pieces are the library's.
 
-    MOST, LONGEST = 300_000, 64
+    Memory is bounded: at MOST cuts the known ones are set aside, in place of those set aside before, and
+    taken up again when they're met.
+    """
+
+    MOST, LONGEST = 250_000, 64
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
@@ -136,28 +142,55 @@ class Codec:
         plain = not self.model.charsmap and not self.model.squeeze and self.model.escape
         self.cut = re.compile(r"[ ▁]+[^ ▁]*|[^ ▁]+") if plain and self.model.split_by_space and not crossing else None
         self.tokenizer = backend(self.model, self.cut is not None)
+        self.by_word = backend(self.model, True) if self.cut is not None else None
+        if self.by_word:
+            self.by_word.pre_tokenizer = pre_tokenizers.Split(MARK, "merged_with_next")
+        self.marked = np.array([p.startswith(MARK) for p, _, _ in self.model.pieces])
         self.of_run = {len(p): k for k, (p, _, t) in enumerate(self.model.pieces) if t == NORMAL and not p.strip(MARK)}
+        # Ids of cuts by key: a cut of one blank and a word goes without the blank, others begin with FIRST.
         self.known: dict[str, bytes] = {}
-        self.differing: dict[str, None] = {}
+        self.aside: dict[str, bytes] = {}
+        self.differing: set[str] = set()  # keys where the other library gives other ids
+        self.lossy: set[str] = set()  # keys whose ids don't decode to them
         self.raw = [bytes([int(p[3:5], 16)]) if t == BYTE else b"" if t == CONTROL else b" \xe2\x81\x87 " if t == UNKNOWN else p.replace(MARK, " ").encode() for p, _, t in self.model.pieces]
 
-    def cuts(self, text: str) -> list[str]:
+    def keys(self, text: str) -> list[str]:
         if not text:
             return []
         if self.cut is None:
-            return [text]
-        return self.cut.findall(" " + text if self.model.dummy_prefix else text)
-
-    def learn(self, cuts: set[str]) -> None:
-        """Encodes cuts in one multithreaded batch and compares each with the sentencepiece library."""
-        if len(self.known) + len(cuts) > self.MOST:
-            self.known.clear()
-        new = list(cuts)
+            return [FIRST + text]
+        if not self.model.dummy_prefix or text[0] == " " or "  " in text or MARK in text or FIRST in text:
+            cuts = self.cut.findall(" " + text if self.model.dummy_prefix else text)
+            return [c[1:] if c[0] == " " and c[1:2] not in (" ", MARK, FIRST) else FIRST + c for c in cuts]
+        return text.split(" ")
+
+    def _cut_of(self, key: str) -> str:
+        return key[1:] if key[:1] == FIRST else " " + key
+
+    def learn(self, keys: list[str]) -> None:
+        """Encodes cuts in multithreaded batches, and compares each with the sentencepiece library and with what it decodes to."""
+        raw = self.raw
+        keys.sort(key=lambda k: not k or k[0] == FIRST)  # words first
+        words = sum(1 for k in keys if k and k[0] != FIRST) if self.by_word else 0
+        cuts = [self._cut_of(k) for k in keys]
         skip = 1 if self.model.dummy_prefix and self.cut else 0
-        for cut, got, want in zip(new, self.through_runs(new), self.expected(new, skip), strict=True):
-            self.known[cut] = array("I", got).tobytes()
+        for key, cut, got, want in zip(keys, cuts, self.together(cuts[:words]) + self.through_runs(cuts[words:]), self.expected(cuts, skip), strict=True):
+            ids = array("I", got).tobytes()
+            self.known[key] = ids
             if want is not None and got != want:
-                self.differing[cut] = None
+                self.differing.add(key)
+            if b"".join([raw[k] for k in got]) != cut.encode() if self.cut else self.decode(ids) != cut:
+                self.lossy.add(key)
+
+    def together(self, words: list[str]) -> list[list[int]]:
+        """Ids of cuts of a blank and a word each, many of them in one text of the batch, which the backend parts at the markers."""
+        out = []
+        some = [words[k : k + TOGETHER] for k in range(0, len(words), TOGETHER)]
+        for own, got in zip(some, self.by_word.encode_batch_fast(["".join(x) for x in some], add_special_tokens=False) if some else (), strict=True):
+            ids = got.ids
+            cuts = [*np.flatnonzero(self.marked[ids]).tolist(), len(ids)]  # a marker stands first in each, and nowhere else
+            out += [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)] if len(cuts) == len(own) + 1 else self.through_runs(own)
+        return out
 
     def through_runs(self, cuts: list[str]) -> list[list[int]]:
         """Ids from the backend. Pieces of markers alone share one lowest score in byte-pair models, so there
@@ -189,20 +222,27 @@ class Codec:
         found = iter(self.theirs.encode([c for c in askable if c], num_threads=1))
         return [next(found) if c else None for c in askable]
 
-    def encode(self, many: list[str]) -> tuple[list[bytes], list[bool]]:
-        """For each text its ids as little-endian 32-bit numbers, and whether all its cuts agree with the other library."""
-        cut = [self.cuts(x) for x in many]
-        known = self.known
-        new = {c for x in cut for c in x if c not in known}
-        if len(known) + len(new) > self.MOST:
-            new = {c for x in cut for c in x}
-        if new:
+    def encode(self, many: list[str]) -> tuple[list[bytes], list[bool], list[bool]]:
+        """For each text its ids as little-endian 32-bit numbers, whether all its cuts agree with the other library, and whether they decode to it."""
+        keys = [self.keys(x) for x in many]
+        met = set().union(*keys)
+        new = met.difference(self.known)
+        if new and len(self.known) + len(new) > self.MOST:
+            self.aside, self.known, new = self.known, {}, met
+            self.differing &= self.aside.keys()
+            self.lossy &= self.aside.keys()
+        again = new & self.aside.keys()
+        self.known.update((k, self.aside[k]) for k in again)
+        if new := list(new - again):
             self.learn(new)
-        out = [b"".join([known[c] for c in x]) for x in cut]
-        agree = [not self.differing or not any(c in self.differing for c in x) for x in cut]
-        for c in [c for c in new if len(c) > self.LONGEST]:
-            del known[c]
-        return out, agree
+        of_key = self.known.__getitem__
+        out = [b"".join(map(of_key, x)) for x in keys]
+        agree, restored = ([True] * len(keys) if not odd else [odd.isdisjoint(x) for x in keys] for odd in (self.differing, self.lossy))
+        for k in [k for k in new if len(k) > self.LONGEST]:
+            del self.known[k]
+            self.differing.discard(k)
+            self.lossy.discard(k)
+        return out, agree, restored
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; the blank of the dummy prefix goes."""
@@ -223,7 +263,7 @@ def encoded(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
         for batch in slices(batches, most=1 << 20):
-            ids, same = c.encode([decoded(x) for x in texts(batch)])
+            ids, same, _ = c.encode([decoded(x) for x in texts(batch)])
             n = np.array([len(x) // 4 for x in ids], np.int64)
             flat = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
             listed = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32)), flat)
@@ -241,15 +281,14 @@ def encoding_report(docs: DataFrame, model_path: str, id_col: str = "doc_id", te
         c = codec(model_path)
         for batch in slices(batches, most=1 << 20):
             raw = texts(batch)
-            whole = [decoded(x) for x in raw]
-            ids, same = c.encode(whole)
+            ids, same, restored = c.encode([decoded(x) for x in raw])
             columns = [
                 pa.array([len(x or b"") for x in raw], pa.int64()),
                 pa.array([len(x) // 4 for x in ids], pa.int64()),
                 pa.array([zlib.crc32(x) for x in ids], pa.int64()),
                 pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
                 pa.array(same, pa.bool_()),
-                pa.array([c.decode(x) == t for x, t in zip(ids, whole, strict=True)], pa.bool_()),
+                pa.array(restored, pa.bool_()),
             ]
             yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], names)
 
