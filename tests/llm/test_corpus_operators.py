@@ -160,10 +160,12 @@ def test_near_duplicates_at_the_threshold(spark):
     assert near_duplicates(df.limit(0)).count() == 0
 
 
-def test_links_within_components(spark, monkeypatch):
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_links_within_components(spark, monkeypatch, rounds):
     from tidewell.llm import jaccard_join as j
 
-    monkeypatch.setattr(j, "HOT_KEY", 5)  # keys of more sets are dealt over tasks
+    for name, size in (("HOT_KEY", 5), ("BLOCK_SETS", 4), ("STAR_ROUNDS", rounds)):  # keys and components of more sets are dealt over tasks
+        monkeypatch.setattr(j, name, size)
     rng, rows = random.Random(3), [(None, None), (1, ""), (2, "one two"), (3, "ONE  two")]
     for family in range(3):
         base = [f"f{family}w{k}" for k in range(90)]

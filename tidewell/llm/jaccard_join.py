@@ -3,18 +3,17 @@
 A parity-sketch join (see parity.py). Exact copies fold into one set first. Each set sends the words of
 its sketch that the pigeonhole argument asks for, as keys. Sets that share a key are candidates:
 
-1. twice, every set is compared with the centre (least by a hash) of the keys it shares most often, by
-   bit sketches and then in full, and what holds is folded into components; a family of copies so costs
-   a comparison each, not pairs;
+1. in a few rounds, every set is compared with the centres that its keys name most often, by bit sketches
+   and then in full, and what holds is folded into components. A key's sets are dealt to parts of bounded
+   size, each with a centre of its own (least by a hash), so a family of copies costs a few comparisons
+   each, not pairs, and no centre has many;
 2. for keys that then still join sets of different components, all such pairs are compared by size
    and by the Hamming distance of bit sketches within the join, and what passes is verified. A pair
    counts at a key only if the sets share none of their LOOK_BACK keys before it; at the least key
    that two sets share that always holds.
 
-So components look at no pairs within one, but at all others; no link that could change a component is
-lost. That is what one_of_each() takes. Links themselves (near_duplicates(), set_links()) need every pair:
-all pairs of sets at a key are compared as in step 2, whatever they belong to, and components come from
-the links. A key of many sets is dealt: one side split by a hash, the other sent to each split.
+So no link that could change a component is lost, and none leads out of one. Links themselves are then
+counted (near_duplicates()) or listed (set_links()) by comparing each component with itself in blocks.
 Verification compares whole sets of 64-bit shingle hashes.
 
 Defined results: null, empty and wordless texts have no shingle and are linked with nothing; texts of
@@ -24,11 +23,13 @@ repeated rows are answered each; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,15 +39,17 @@ from tidewell.llm.components import components
 from tidewell.llm.textwords import NOT_SPACE, U, shingle_sets, words
 from tidewell.session import materialise, ready
 
-STAR_ROUNDS = 2
+STAR_ROUNDS = 3
 BITMAP_BITS = 26  # of the filter that tells which sets are candidates; its size is fixed
 PIECES = 64  # that counts and bitmaps are summed in
 LOOK_BACK = 8
-LINKS_LOOK_BACK = 2  # where all key rows are paired and their size counts for more than a few repeated pairs
-HOT_KEY = 256  # sets of a key that one task pairs with all others of the key
-BROADCAST_PAIRS = 1_000_000  # of two numbers each
+CENTRES = 3  # that a set is compared with in a round, of those its keys name
+HOT_KEY = 256  # sets in a part of a key; each part has a centre
+BLOCK_SETS, BLOCK_BYTES = 256, 8 << 20  # of a component, that a task compares with as many others
+COLUMNS = 4096  # shingles in one product of matrices
 REMEMBERED = 500_000  # set ids by which a task leaves out copies it has met
 MOST_COUNTED = (1 << 16) - 1  # counts end there: what is as common comes last in any case
+Block = tuple[list[int], list[int], list[np.ndarray]]  # set ids, their copies, their shingles
 SKETCH = [f"k{i}" for i in range(parity.SKETCH_WORDS)]
 
 
@@ -134,7 +137,7 @@ class _Saturating:
 
 
 def key_rows(kept: DataFrame, counts: np.ndarray, clashing: frozenset[int]) -> DataFrame:
-    """(key, sid, n): keys that at least two sets have."""
+    """(key, sid, n, parts): keys that at least two sets have, and the parts (a power of two) that the rows of a key of many sets are dealt to."""
     held = kept.sparkSession.sparkContext.broadcast(counts)  # 2**COUNT_BITS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,8 +155,9 @@ def key_rows(kept: DataFrame, counts: np.ndarray, clashing: frozenset[int]) -> D
 
     every = kept.mapInArrow(run, "key long, sid long, n int")
     own = Window.partitionBy("key")
-    several = every.withColumns({"least": F.min("sid").over(own), "most": F.max("sid").over(own)}).where("least <> most")
-    return materialise(several.select("key", "sid", "n").distinct(), "keys")
+    several = every.withColumns({"least": F.min("sid").over(own), "most": F.max("sid").over(own), "rows": F.count("*").over(own)}).where("least <> most")
+    parts = F.pow(F.lit(2), F.greatest(F.lit(0), F.ceil(F.log2(F.col("rows") / HOT_KEY)))).cast("int")
+    return materialise(several.select("key", "sid", "n", parts.alias("parts")).distinct(), "keys")
 
 
 def candidate_sets(kept: DataFrame, keyed: DataFrame, clashing: frozenset[int]) -> DataFrame:
@@ -185,17 +189,16 @@ def candidate_sets(kept: DataFrame, keyed: DataFrame, clashing: frozenset[int])
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["sid", "n", "shingles", "wide", *SKETCH])
 
     found = kept.mapInArrow(run, "sid long, n int, shingles binary, wide binary, " + ", ".join(f"{k} long" for k in SKETCH))
-    # The same set from several tasks is the same row: rows of one sid are side by side after the join, the first stays.
-    joined = found.join(wanted, "sid", "left_semi").withColumn("nth", F.row_number().over(Window.partitionBy("sid").orderBy("n")))
-    return materialise(joined.where("nth = 1").drop("nth"), "candidate-sets")
+    # The same set from several tasks is the same row: rows of one sid are side by side after the shuffle, the first stays.
+    dealt = found.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "sid").join(wanted, "sid", "left_semi")
+    once = dealt.withColumn("nth", F.row_number().over(Window.partitionBy("sid").orderBy("n"))).where("nth = 1").drop("nth")
+    # On disk and by sid, so that no join with it moves it again; what a lost executor held is made anew.
+    return once.persist(StorageLevel.DISK_ONLY)
 
 
 def _with_both(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
-    """(a, b, m, n, x, y): the sizes and a column of both sets of each pair. Few pairs go to the sets; of many, the sets go to the pairs."""
-    own = sets.select("sid", F.col("n").alias("size"), column)
-    side = lambda key, n, x: own.select(F.col("sid").alias(key), F.col("size").alias(n), F.col(column).alias(x))
-    if pairs.count() <= BROADCAST_PAIRS:
-        return side("a", "m", "x").join(F.broadcast(pairs), "a").join(side("b", "n", "y").join(F.broadcast(pairs), "b"), ["a", "b"])
+    """(a, b, m, n, x, y): the sizes and a column of both sets of each pair. The kept sets stay where they are: pairs go to those of a, then to those of b."""
+    side = lambda key, n, x: sets.select(F.col("sid").alias(key), F.col("n").alias(n), F.col(column).alias(x))
     return pairs.join(side("a", "m", "x"), "a").join(side("b", "n", "y"), "b")
 
 
@@ -213,7 +216,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = [parity.linked(np.frombuffer(x, U), np.frombuffer(y, U)) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    close = _with_both(materialise(pairs, "pairs"), sets, "wide").select("a", "b", "m", "n", "x", "y").mapInArrow(by_sketch, "a long, b long")
+    close = _with_both(pairs, sets, "wide").select("a", "b", "m", "n", "x", "y").mapInArrow(by_sketch, "a long, b long")
     return _with_both(materialise(close, "close-pairs"), sets, "shingles").select("a", "b", "x", "y").mapInArrow(by_sets, "a long, b long")
 
 
@@ -226,22 +229,13 @@ def _apart() -> Column:
     return sum((F.bit_count(F.col(f"a_{k}").bitwiseXOR(F.col(f"b_{k}"))) for k in SKETCH), F.lit(0))
 
 
-def plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose bit sketches don't rule a link out."""
-    out = pairs
-    for side in "ab":
-        own = sets.select(F.col("sid").alias(side), F.col("n").alias(f"{side}_n"), *(F.col(k).alias(f"{side}_{k}") for k in SKETCH))
-        out = out.join(own, side)
-    return out.where(7 * _apart() <= F.col("a_n") + F.col("b_n")).select("a", "b")
-
-
 def _labelled(keyed: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Key rows with their components; only keys that still join several."""
     if labels is None:
         return keyed.withColumn("label", F.col("sid"))
     with_label = keyed.join(labels.withColumnsRenamed({"node": "sid", "label": "found"}), "sid", "left").withColumn("label", F.coalesce("found", "sid")).drop("found")
-    own = Window.partitionBy("key")
-    return with_label.withColumns({"least": F.min("label").over(own), "most": F.max("label").over(own)}).where("least <> most").drop("least", "most")
+    several = with_label.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("key")
+    return materialise(with_label.join(several, "key", "left_semi"), "open-keys")
 
 
 def _joined(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
@@ -252,57 +246,143 @@ def _joined(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
 
 def set_components(keyed: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, label) of every set that is linked with another."""
-    labels = None
+    labels, rows = None, _labelled(keyed, None)
     for round_ in range(STAR_ROUNDS):
+        dealt = rows.withColumn("part", F.pmod(F.xxhash64("sid", F.lit(round_)), F.col("parts")))
+        centre = F.min(F.struct(F.xxhash64("sid", F.lit(-1 - round_)).alias("place"), "sid", "n", "label")).over(Window.partitionBy("key", "part"))
+        apart = dealt.withColumn("c", centre).where((F.col("label") != F.col("c.label")) & _sizes_fit(F.col("n"), F.col("c.n")))
+        votes = apart.groupBy(F.col("sid").alias("a"), F.col("c.sid").alias("b")).agg(F.count("*").alias("votes"))
+        pairs = top_voted(votes)
+        labels = materialise(_joined(labels, verified(pairs, sets)), "labels")
         rows = _labelled(keyed, labels)
-        own = Window.partitionBy("key")
-        centre = F.min(F.struct(F.xxhash64("sid", F.lit(round_)).alias("place"), "sid", "n", "label")).over(own)
-        rows = rows.withColumn("c", centre).where((F.col("label") != F.col("c.label")) & _sizes_fit(F.col("n"), F.col("c.n")))
-        votes = rows.groupBy(F.col("sid").alias("a"), F.col("c.sid").alias("b")).agg(F.count("*").alias("votes"))
-        pairs = votes.groupBy("a").agg(F.max(F.struct("votes", "b")).alias("best")).select("a", "best.b")
-        labels = materialise(_joined(labels, verified(plausible(pairs, sets), sets)), "labels")
-    pairs = _close_pairs(_labelled(keyed, labels), keyed, sets)
-    return materialise(_joined(labels, verified(pairs, sets)), "labels")
-
-
-def _close_pairs(rows: DataFrame, keyed: DataFrame, sets: DataFrame, look_back: int = LOOK_BACK) -> DataFrame:
-    """The distinct pairs (a, b), a < b, of sets of different labels that share a key, fit in size and by bit sketches."""
-    splits = keyed.groupBy("key").agg(F.ceil(F.count("*") / HOT_KEY).cast("int").alias("splits")).where("splits > 1")
-    in_order = Window.partitionBy("sid").orderBy("key")
-    back = F.array(*(F.lag("key", k).over(in_order) for k in range(1, look_back + 1)))
-    rows = rows.join(splits, "key", "left").withColumn("splits", F.coalesce("splits", F.lit(1)))
-    rows = rows.withColumn("back", back).join(sets.select("sid", *SKETCH), "sid")
-    # A row goes to every split of its key and leads pairs in one, so that both sides of the join read one exchange.
-    rows = rows.withColumn("split", F.explode(F.sequence(F.lit(0), F.col("splits") - 1))).withColumn("leads", F.col("split") == F.pmod(F.xxhash64("sid"), F.col("splits")))
-    carried = ("sid", "n", "label", "leads", "back", *SKETCH)
-    x, y = (rows.select("key", "split", *(F.col(c).alias(f"{side}_{c}") for c in carried)) for side in "ab")
-    close = (F.col("a_sid") < F.col("b_sid")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit(F.col("a_n"), F.col("b_n")) & (7 * _apart() <= F.col("a_n") + F.col("b_n"))
+    return materialise(_joined(labels, verified(_close_pairs(rows, sets), sets)), "labels")
+
+
+def top_voted(votes: DataFrame) -> DataFrame:
+    nth = F.row_number().over(Window.partitionBy("a").orderBy(F.col("votes").desc(), "b"))
+    return votes.withColumn("nth", nth).where(F.col("nth") <= CENTRES).select("a", "b")
+
+
+def _close_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """The distinct pairs of sets of different labels that share a key, fit in size and by bit sketches.
+
+    Of such a pair one at least isn't of the key's most frequent label: those rows, dealt to parts of HOT_KEY
+    rows, meet all rows of the key; what a label already holds together is never paired.
+    """
+    back = F.array(*(F.lag("key", k).over(Window.partitionBy("sid").orderBy("key")) for k in range(1, LOOK_BACK + 1)))
+    rows = rows.select("key", "sid", "n", "label").withColumn("back", back).join(sets.select("sid", *SKETCH), "sid")
+    by_label = rows.groupBy("key", "label").agg(F.count("*").alias("count"))
+    keys = by_label.groupBy("key").agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("all"))
+    alone = F.col("all") - F.col("top.count")
+    parts = F.pow(F.lit(2), F.greatest(F.lit(0), F.ceil(F.log2(alone / HOT_KEY)))).cast("int")
+    rows = rows.join(keys.select("key", F.col("top.label").alias("top"), parts.alias("parts")), "key")
+    carried = ("sid", "n", "label", "back", *SKETCH)
+    every = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("key", "part", *(F.col(c).alias(f"a_{c}") for c in carried))
+    some = rows.where("label <> top").withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts"))).select(F.col("key").alias("b_key"), F.col("part").alias("b_part"), *(F.col(c).alias(f"b_{c}") for c in carried))
+    close = (F.col("a_label") != F.col("b_label")) & _sizes_fit(F.col("a_n"), F.col("b_n")) & (7 * _apart() <= F.col("a_n") + F.col("b_n"))
     close = close & ~F.coalesce(F.arrays_overlap("a_back", "b_back"), F.lit(False))
-    leads = F.when(F.col("a_leads"), F.col("a_sid")).otherwise(F.lit((1 << 63) - 1)) < F.col("b_sid")  # of both sides, so that it stays in the join
-    return x.join(y, (x["key"] == y["key"]) & (x["split"] == y["split"]) & close & leads).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")).distinct()
-
-
-def set_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(id, n, sid) of every row, where sid stands for its set of n shingles; and (a, b), a < b, of all linked pairs of distinct sets."""
+    met = every.join(some, (F.col("key") == F.col("b_key")) & (F.col("part") == F.col("b_part")) & close)
+    return met.select(F.least("a_sid", "b_sid").alias("a"), F.greatest("a_sid", "b_sid").alias("b")).distinct()
+
+
+def compared(labels: DataFrame, sets: DataFrame, copies: DataFrame, run: Callable[[Block, Block], pa.RecordBatch], schema: str) -> DataFrame:
+    """run() on all pairs of blocks of each component. Components are dealt to blocks by a hash, of BLOCK_SETS sets or BLOCK_BYTES about;
+    a set goes to the tasks of its block's pairs, which hold two blocks at a time and give no pairs away but what run() makes of them.
+    """
+    linked = labels.select(F.col("node").alias("sid"), "label").join(sets.select("sid", "n", "shingles"), "sid").join(copies, "sid")
+    sizes = linked.groupBy("label").agg(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") * 8 / BLOCK_BYTES).alias("blocks"))
+    sizes = sizes.select("label", F.pow(F.lit(2), F.greatest(F.lit(0), F.ceil(F.log2("blocks")))).cast("int").alias("blocks"))
+    placed = linked.join(sizes, "label").withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    sent = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keyed = sent.select("label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "copies", "shingles")
+    dealt = keyed.repartition(int(labels.sparkSession.conf.get("spark.sql.shuffle.partitions")), "label", "i", "j").sortWithinPartitions("label", "i", "j", "own", "sid")
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, i, j), rows in groupby(_rows(batches), key=lambda r: r[:3]):
+            x: Block = ([], [], [])
+            y: Block = ([], [], [])
+            for *_, own, sid, n, shingles in rows:
+                for side, value in zip(x if own == i else y, (sid, n, np.frombuffer(shingles, U)), strict=True):
+                    side.append(value)
+            if len(x[0]) + len(y[0]) > 1:
+                yield run(x, x if i == j else y)
+
+    return dealt.mapInArrow(over, schema)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in slices(batches, "shingles"):
+        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+
+def links_of(x: Block, y: Block) -> np.ndarray:
+    """Which sets of x are linked with which of y; shingles that one set alone has are left out of the products."""
+    same = x is y
+    sets = x[2] if same else x[2] + y[2]
+    sizes = np.array([len(s) for s in sets], np.int64)
+    _, which, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    of, shared = np.repeat(np.arange(len(sets)), sizes), np.cumsum(count > 1) - 1
+    keep = count[which] > 1
+    of, which = of[keep], shared[which[keep]]
+    at = np.argsort(which, kind="stable")
+    of, which = of[at], which[at]
+    both = np.zeros((len(x[0]), len(y[0])), np.int64)
+    total = int(which[-1]) + 1 if len(which) else 0
+    for first in range(0, total, COLUMNS):
+        a, b = np.searchsorted(which, (first, first + COLUMNS))
+        has = np.zeros((len(sets), min(COLUMNS, total - first)), np.float32)
+        has[of[a:b], which[a:b] - first] = 1
+        both += (has @ has.T if same else has[: len(x[0])] @ has[len(x[0]) :].T).astype(np.int64)
+    n, m = sizes[: len(x[0])], sizes if same else sizes[len(x[0]) :]
+    out = 7 * both >= 3 * (n[:, None] + m[None, :])
+    if same:
+        np.fill_diagonal(out, False)
+    return out
+
+
+def _counts(x: Block, y: Block) -> pa.RecordBatch:
+    linked = links_of(x, y)
+    sids, n = x[0], linked @ np.array(y[1], np.int64)
+    if x is not y:
+        sids, n = x[0] + y[0], np.concatenate((n, np.array(x[1], np.int64) @ linked))
+    return pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(n, pa.int64())], ["sid", "links"])
+
+
+def _pairs(x: Block, y: Block) -> pa.RecordBatch:
+    p, q = np.nonzero(links_of(x, y))
+    a, b = np.array(x[0], np.int64)[p], np.array(y[0], np.int64)[q]
+    keep = a < b if x is y else slice(None)
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[keep]), pa.array(np.maximum(a, b)[keep])], ["a", "b"])
+
+
+def _found(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows' sets, the candidates among these (to be unpersisted), and the components."""
     ready(docs.sparkSession)
     kept = id_and_text(docs, id_col, text_col)
     rows, clashing = document_sets(docs, id_col, text_col)
     keyed = key_rows(kept, shingle_counts(kept, clashing), clashing)
     sets = candidate_sets(kept, keyed, clashing)
-    pairs = _close_pairs(_labelled(keyed, None), keyed, sets, LINKS_LOOK_BACK)
-    return rows, materialise(verified(pairs, sets), "links")
+    return rows, sets, set_components(keyed, sets)
+
+
+def set_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(id, n, sid) of every row, where sid stands for its set of n shingles; and (a, b), a < b, of all linked pairs of distinct sets."""
+    rows, sets, labels = _found(docs, id_col, text_col)
+    pairs = materialise(compared(labels, sets, labels.select(F.col("node").alias("sid"), F.lit(1).alias("copies")), _pairs, "a long, b long"), "links")
+    sets.unpersist()
+    return rows, pairs
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_shingles, component_id (the smallest id reachable by links), set_class (the component, null without shingles),
-    n_links (other rows that the row is linked with; copies of a set count each)."""
-    rows, links = set_links(docs, id_col, text_col)
+    n_links (other rows that the row is linked with; copies of a set count each). Links are counted in blocks, never listed."""
+    rows, sets, labels = _found(docs, id_col, text_col)
     copies = rows.where("n > 0").groupBy("sid").agg(F.count("*").alias("copies"))
-    both = links.select(F.col("a").alias("sid"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("sid"), F.col("a").alias("other")))
-    others = both.join(copies.withColumnRenamed("sid", "other"), "other").groupBy("sid").agg(F.sum("copies").alias("others"))
-    counted = copies.join(others, "sid", "left").select("sid", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
-    out = _by_component(rows, components(links), id_col).join(counted, "sid", "left")
-    return out.select(id_col, "n_shingles", "component_id", "set_class", F.when(F.col("n_shingles") > 0, F.col("links")).otherwise(0).alias("n_links"))
+    others = compared(labels, sets, copies, _counts, "sid long, links long").groupBy("sid").agg(F.sum("links").alias("others"))
+    counted = materialise(copies.join(others, "sid", "left").select("sid", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links")).where("links > 0"), "counts")
+    sets.unpersist()
+    out = _by_component(rows, labels, id_col).join(counted, "sid", "left")
+    return out.select(id_col, "n_shingles", "component_id", "set_class", F.coalesce("links", F.lit(0)).alias("n_links"))
 
 
 def _by_component(rows: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
@@ -315,12 +395,10 @@ def _by_component(rows: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """near_duplicates() without n_links: pairs within a component are skipped."""
-    ready(docs.sparkSession)
-    kept = id_and_text(docs, id_col, text_col)
-    rows, clashing = document_sets(docs, id_col, text_col)
-    keyed = key_rows(kept, shingle_counts(kept, clashing), clashing)
-    return _by_component(rows, set_components(keyed, candidate_sets(kept, keyed, clashing)), id_col).drop("sid")
+    """near_duplicates() without n_links."""
+    rows, sets, labels = _found(docs, id_col, text_col)
+    sets.unpersist()
+    return _by_component(rows, labels, id_col).drop("sid")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
