@@ -30,6 +30,8 @@ def build(cpus: int | str = "*", app: str = "tidewell", **conf: str) -> SparkSes
 BATCH_ROWS = "2000"
 ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: What Python workers start with: freed memory goes back to the system at once, be it numpy's, Arrow's or a
 #: tokenizer thread's, as workers live on from job to job; and tokenizers take two threads, as tasks have the other cores.
 WORKERS = {
@@ -76,8 +78,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: lineage is cut, every executor may be lost."""
+    """Writes df to the shared folder and reads it back: lineage is cut, every executor may be lost.
+
+    df is not run again, so its shuffle files may go as soon as it's written.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
