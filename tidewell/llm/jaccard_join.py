@@ -23,6 +23,7 @@ repeated rows are answered each; extra columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from itertools import groupby
 
@@ -61,49 +62,64 @@ class _Ids:
     """Set ids; the second hash where the first is known to stand for several sets."""
 
     def __init__(self, shared: frozenset[int]):
-        self.shared, self.met = shared, {}
-
-    def of(self, shingles: np.ndarray) -> int:
-        first, second = parity.set_ids(shingles)
-        return second if first in self.shared else first
-
-    def fresh(self, sid: int) -> bool:
-        """Whether the task meets the set for the first time, as far as it remembers."""
-        if sid in self.met:
-            return False
-        if len(self.met) >= REMEMBERED:
-            self.met.clear()
-        self.met[sid] = None
-        return True
-
-
-def document_sets(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, frozenset[int]]:
-    """(id, n, sid) of every row, written to the shared folder; and the first hashes that several sets share (none, but by chance)."""
+        self.shared, self.met = shared, set()
+
+    def of(self, sets: list[np.ndarray]) -> list[int]:
+        first, second = parity.set_ids(sets)
+        return [y if x in self.shared else x for x, y in zip(first.tolist(), second.tolist(), strict=True)] if self.shared else first.tolist()
+
+    def fresh(self, sets: list[np.ndarray]) -> tuple[list[int], list[np.ndarray]]:
+        """Ids and sets of the non-empty ones that the task meets for the first time, as far as it remembers."""
+        out = []
+        for sid, s in zip(self.of(sets), sets, strict=True):
+            if len(s) and sid not in self.met:
+                if len(self.met) >= REMEMBERED:
+                    self.met.clear()
+                self.met.add(sid)
+                out.append((sid, s))
+        return [x for x, _ in out], [x for _, x in out]
+
+
+def document_sets(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, frozenset[int], np.ndarray]:
+    """(id, n, sid) of every row, written to the shared folder; the first hashes that several sets share (none, but by chance);
+    and the number of sets by shingle, in 2**COUNT_BITS buckets of shingles. Counts cover all documents, order keys and decide nothing else.
+    """
+    names = ["id", "n", "s1", "s2", "piece", "task", "data"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, counts = _Ids(frozenset()), np.zeros(1 << parity.COUNT_BITS, np.uint16)
         for batch in slices(batches):
             found = _sets(batch)
-            both = [parity.set_ids(s) for s in found]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in found], pa.int64()), pa.array([x for x, _ in both], pa.int64()), pa.array([y for _, y in both], pa.int64())], ["id", "n", "s1", "s2"])
-
-    rows = materialise(id_and_text(docs, id_col, text_col).mapInArrow(run, "id long, n long, s1 long, s2 long"), "sets")
+            _, fresh = ids.fresh(found)
+            if fresh:
+                at, n = np.unique((np.concatenate(fresh) >> U(64 - parity.COUNT_BITS)).astype(np.int64), return_counts=True)
+                counts[at] = np.minimum(counts[at] + n, MOST_COUNTED)
+            s1, s2 = parity.set_ids(found)
+            none = [pa.nulls(batch.num_rows, t) for t in (pa.int32(), pa.int64(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in found], pa.int64()), pa.array(s1), pa.array(s2), *none], names)
+        pieces = _pieces(counts)
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(pieces.num_rows, pa.int64())] * 4, *pieces.columns], names)
+
+    both = materialise(id_and_text(docs, id_col, text_col).mapInArrow(run, "id long, n long, s1 long, s2 long, piece int, task long, data binary"), "sets")
+    rows = both.where("piece IS NULL").select("id", "n", "s1", "s2")
     shared = rows.groupBy("s1").agg(F.min("s2").alias("least"), F.max("s2").alias("most")).where("least <> most").select("s1")
     # In expectation (distinct sets)**2 / 2**65 rows: a few dozen for 10**10 sets.
     clashing = frozenset(r.s1 for r in shared.collect())
+    counts = _summed(both.where("piece IS NOT NULL").select("piece", "task", "data"), "<u2", _Saturating)
     sid = F.when(F.col("s1").isin(*clashing), F.col("s2")).otherwise(F.col("s1")) if clashing else F.col("s1")
-    return rows.select("id", "n", sid.alias("sid")), clashing
+    return rows.select("id", "n", sid.alias("sid")), clashing, counts if len(counts) else np.zeros(1 << parity.COUNT_BITS, "<u2")
 
 
 def _summed(parts: DataFrame, dtype: str, join) -> np.ndarray:
     """One array of a fixed size from the pieces of all tasks: first within groups of tasks, then over these."""
 
     def total(pdf: pd.DataFrame) -> pd.DataFrame:
-        whole = join.reduce(np.stack([np.frombuffer(x, dtype) for x in pdf["data"]]))
-        return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "data": [whole.astype(dtype).tobytes()]})
+        whole = join.reduce(np.stack([np.frombuffer(zlib.decompress(x), dtype) for x in pdf["data"]]))
+        return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "data": [zlib.compress(whole.astype(dtype).tobytes(), 1)]})
 
     few = parts.groupBy("piece", F.pmod("task", F.lit(64)).alias("some")).applyInPandas(lambda pdf: total(pdf), "piece int, data binary")
     rows = few.groupBy("piece").applyInPandas(total, "piece int, data binary").collect()  # PIECES rows of a fixed size
-    return np.concatenate([np.frombuffer(r.data, dtype) for r in sorted(rows)]) if rows else np.empty(0, dtype)
+    return np.concatenate([np.frombuffer(zlib.decompress(r.data), dtype) for r in sorted(rows)]) if rows else np.empty(0, dtype)
 
 
 def _pieces(whole: np.ndarray) -> pa.RecordBatch:
@@ -111,23 +127,7 @@ def _pieces(whole: np.ndarray) -> pa.RecordBatch:
 
     context = TaskContext.get()
     parts = np.array_split(whole, PIECES)
-    return pa.RecordBatch.from_arrays([pa.array(range(PIECES), pa.int32()), pa.array([context.partitionId() if context else 0] * PIECES, pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())], ["piece", "task", "data"])
-
-
-def shingle_counts(kept: DataFrame, clashing: frozenset[int]) -> np.ndarray:
-    """Sets by shingle, in 2**COUNT_BITS buckets of shingles; over all documents. They order keys and decide nothing else."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, counts = _Ids(clashing), np.zeros(1 << parity.COUNT_BITS, np.uint16)
-        for batch in slices(batches):
-            fresh = [s for s in _sets(batch) if len(s) and ids.fresh(ids.of(s))]
-            if fresh:
-                at, n = np.unique((np.concatenate(fresh) >> U(64 - parity.COUNT_BITS)).astype(np.int64), return_counts=True)
-                counts[at] = np.minimum(counts[at] + n, MOST_COUNTED)
-        yield _pieces(counts)
-
-    found = _summed(kept.mapInArrow(run, "piece int, task long, data binary"), "<u2", _Saturating)
-    return found if len(found) else np.zeros(1 << parity.COUNT_BITS, "<u2")
+    return pa.RecordBatch.from_arrays([pa.array(range(PIECES), pa.int32()), pa.array([context.partitionId() if context else 0] * PIECES, pa.int64()), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())], ["piece", "task", "data"])
 
 
 class _Saturating:
@@ -143,15 +143,10 @@ def key_rows(kept: DataFrame, counts: np.ndarray, clashing: frozenset[int]) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _Ids(clashing)
         for batch in slices(batches):
-            keys, sids, sizes = [np.empty(0, np.int64)], [], []
-            for s in _sets(batch):
-                sid = ids.of(s)
-                if len(s) and ids.fresh(sid):
-                    keys.append(parity.keys(s, held.value))
-                    sids.append(sid)
-                    sizes.append(len(s))
-            n = [len(k) for k in keys[1:]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.repeat(np.array(sids, np.int64), n)), pa.array(np.repeat(np.array(sizes, np.int32), n))], ["key", "sid", "n"])
+            sids, sets = ids.fresh(_sets(batch))
+            found, of = parity.keys(sets, held.value)
+            sizes = np.array([len(x) for x in sets], np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.array(sids, np.int64)[of]), pa.array(sizes[of])], ["key", "sid", "n"])
 
     every = kept.mapInArrow(run, "key long, sid long, n int")
     own = Window.partitionBy("key")
@@ -178,12 +173,9 @@ def candidate_sets(kept: DataFrame, keyed: DataFrame, clashing: frozenset[int])
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, bits = _Ids(clashing), held.value
         for batch in slices(batches):
-            rows = []
-            for s in _sets(batch):
-                sid = ids.of(s)
-                at = sid & (1 << BITMAP_BITS) - 1
-                if len(s) and len(bits) and bits[at >> 3] >> (at & 7) & 1 and ids.fresh(sid):
-                    rows.append((sid, len(s), s.tobytes(), parity.wide_sketch(s), *parity.bit_sketch(s).tolist()))
+            found = _sets(batch)
+            marked = [s for s, sid in zip(found, ids.of(found), strict=True) if len(bits) and bits[(sid & (1 << BITMAP_BITS) - 1) >> 3] >> (sid & 7) & 1]
+            rows = [(sid, len(s), s.tobytes(), parity.wide_sketch(s), *parity.bit_sketch(s).tolist()) for sid, s in zip(*ids.fresh(marked), strict=True)]
             columns = zip(*rows, strict=True) if rows else [[]] * (4 + len(SKETCH))
             kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * len(SKETCH)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["sid", "n", "shingles", "wide", *SKETCH])
@@ -359,8 +351,8 @@ def _found(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
     """The rows' sets, the candidates among these (to be unpersisted), and the components."""
     ready(docs.sparkSession)
     kept = id_and_text(docs, id_col, text_col)
-    rows, clashing = document_sets(docs, id_col, text_col)
-    keyed = key_rows(kept, shingle_counts(kept, clashing), clashing)
+    rows, clashing, counts = document_sets(docs, id_col, text_col)
+    keyed = key_rows(kept, counts, clashing)
     sets = candidate_sets(kept, keyed, clashing)
     return rows, sets, set_components(keyed, sets)
 

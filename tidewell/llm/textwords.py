@@ -74,7 +74,8 @@ def shingle_sets(found: Words, width: int) -> list[np.ndarray]:
     every, out = windows(found.hashes, width), []
     for a, b in zip(found.first[:-1].tolist(), found.first[1:].tolist(), strict=True):
         if b - a >= width:
-            out.append(np.unique(every[a : b - width + 1]))
+            own = np.sort(every[a : b - width + 1])
+            out.append(own[np.concatenate(([True], own[1:] != own[:-1]))])
         else:
             out.append(windows(found.hashes[a:b], b - a) if b > a else np.empty(0, U))
     return out
