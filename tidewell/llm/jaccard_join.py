@@ -23,6 +23,7 @@ repeated rows are answered each; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Callable, Iterator
 from itertools import groupby
@@ -43,7 +44,8 @@ from tidewell.session import materialise, ready
 STAR_ROUNDS = 3
 BITMAP_BITS = 26  # of the filter that tells which sets are candidates; its size is fixed
 PIECES = 64  # that counts and bitmaps are summed in
-LOOK_BACK = 8
+LOOK_BACK = 4
+SIZE_STEP = 1.4  # sizes that fit, by 4/3 at most, are a step apart at most
 CENTRES = 3  # that a set is compared with in a round, of those its keys name
 HOT_KEY = 256  # sets in a part of a key; each part has a centre
 BLOCK_SETS, BLOCK_BYTES = 256, 8 << 20  # of a component, that a task compares with as many others
@@ -222,12 +224,15 @@ def _apart() -> Column:
 
 
 def _labelled(keyed: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Key rows with their components; only keys that still join several."""
+    """Key rows with their components; only those with a row of another component at their key whose size may fit."""
     if labels is None:
         return keyed.withColumn("label", F.col("sid"))
     with_label = keyed.join(labels.withColumnsRenamed({"node": "sid", "label": "found"}), "sid", "left").withColumn("label", F.coalesce("found", "sid")).drop("found")
-    several = with_label.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("key")
-    return materialise(with_label.join(several, "key", "left_semi"), "open-keys")
+    with_label = with_label.withColumn("size", F.floor(F.log(F.col("n")) / math.log(SIZE_STEP)))
+    own = with_label.groupBy("key", "size").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+    near = own.withColumn("size", F.explode(F.array(*(F.col("size") + k for k in (-1, 0, 1)))))
+    several = near.groupBy("key", "size").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least <> most").select("key", "size")
+    return materialise(with_label.join(several, ["key", "size"], "left_semi").drop("size"), "open-keys")
 
 
 def _joined(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
@@ -261,13 +266,15 @@ def _close_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     Of such a pair one at least isn't of the key's most frequent label: those rows, dealt to parts of HOT_KEY
     rows, meet all rows of the key; what a label already holds together is never paired.
     """
-    back = F.array(*(F.lag("key", k).over(Window.partitionBy("sid").orderBy("key")) for k in range(1, LOOK_BACK + 1)))
-    rows = rows.select("key", "sid", "n", "label").withColumn("back", back).join(sets.select("sid", *SKETCH), "sid")
+    rows = rows.select("key", "sid", "n", "label")
     by_label = rows.groupBy("key", "label").agg(F.count("*").alias("count"))
     keys = by_label.groupBy("key").agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("all"))
     alone = F.col("all") - F.col("top.count")
     parts = F.pow(F.lit(2), F.greatest(F.lit(0), F.ceil(F.log2(alone / HOT_KEY)))).cast("int")
     rows = rows.join(keys.select("key", F.col("top.label").alias("top"), parts.alias("parts")), "key")
+    # Only now, and by sid, where the kept sets are, rows get what they are compared by.
+    back = F.array(*(F.lag("key", k).over(Window.partitionBy("sid").orderBy("key")) for k in range(1, LOOK_BACK + 1)))
+    rows = rows.join(sets.select("sid", *SKETCH), "sid").withColumn("back", back)
     carried = ("sid", "n", "label", "back", *SKETCH)
     every = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("key", "part", *(F.col(c).alias(f"a_{c}") for c in carried))
     some = rows.where("label <> top").withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts"))).select(F.col("key").alias("b_key"), F.col("part").alias("b_part"), *(F.col(c).alias(f"b_{c}") for c in carried))
