@@ -179,3 +179,24 @@ def test_predicates(spark):
     assert df.where(predicates.as_column(tree)).count() == 1
     with pytest.raises(ValueError):
         predicates.as_column({"type": "near"})
+
+
+def test_row_numbers_of_many_wide_rows(spark):
+    df = spark.range(400_000).selectExpr("hash(id) AS k", "id", "concat('row ', id, repeat('x', 40)) AS text")
+    for pieces in (None, 16):
+        found = rel.numbered(df, ["k", "id"], "n", pieces).agg(F.count("*"), F.count_distinct("n"), F.min("n"), F.max("n"), F.count_distinct("id")).first()
+        assert tuple(found) == (400_000, 400_000, 0, 399_999, 400_000)
+
+
+def test_rows_that_survive_dont_depend_on_the_columns_read(spark, tmp_path):
+    (tmp_path / "t.tsv").write_text("a\tb\tc\n1\t2\t3\n4\t5\n6\t7\t8\t9\n")
+    for schema in (None, "a int, b int, c int"):
+        df = tables.tsv(spark, str(tmp_path / "t.tsv"), schema)
+        assert df.count() == df.select("a").count() == df.select("c").count() == len(df.collect()) == 1 and df.columns == ["a", "b", "c"]
+
+
+def test_plant_export_with_line_breaks_in_cells(spark, tmp_path):
+    lines = ["about", "", "x", "y", "z", "Botanical Name,Tips,Height (min)", 'Salvia alba,"line one\nline two, ""so""",3 ft', "Acer rubrum,,"]
+    (tmp_path / "p.csv").write_text("\n".join(lines))
+    got = {r.scientific_name: r.tips for r in tables.plant_export(spark, str(tmp_path / "p.csv")).collect()}
+    assert got == {"Salvia alba": 'line one\nline two, "so"', "Acer rubrum": None}

@@ -1,7 +1,7 @@
 import numpy as np
 
 from tidewell.streaming.features import HashExtractor, embedding_work
-from tidewell.streaming.stages import stage, stored
+from tidewell.streaming.stages import failures, stage, stored
 
 
 def test_stage_resumes_and_keeps_failures(spark, tmp_path):
@@ -24,3 +24,25 @@ def test_stage_resumes_and_keeps_failures(spark, tmp_path):
     assert run("c1")[0] == ["u1", "u3"]
     packed = stored(spark, f"{out}/results", "image_url_large string, cls_fp16 binary, cls_shape array<int>").collect()
     assert all(len(np.frombuffer(r.cls_fp16, "<f2")) == 4 and r.cls_shape == [4] for r in packed)
+
+
+def test_stage_tries_failures_again_and_keeps_results_of_other_checkpoints(spark, tmp_path):
+    source, out, broken = str(tmp_path / "in"), str(tmp_path / "out"), tmp_path / "broken"
+    broken.write_text("")
+
+    def work(rows):
+        if broken.exists() and any(r["id"] % 5 == 0 for r in rows):
+            raise ValueError("no")
+        return [{"id": r["id"], "twice": 2 * r["id"], "error": None} for r in rows]
+
+    def run(checkpoint):
+        stage(spark, source, "id bigint", "id", work, "id bigint, twice bigint, error string", out, str(tmp_path / checkpoint)).awaitTermination()
+        return sorted(r.id for r in stored(spark, f"{out}/results", "id bigint").collect()), sorted(r.id for r in failures(spark, out, "id", "id bigint, error string").collect())
+
+    spark.range(1, 11).coalesce(1).write.parquet(source)
+    good = [k for k in range(1, 11) if k % 5]
+    assert run("c1") == (good, [5, 10]) and run("c1") == (good, [5, 10])
+    spark.range(11, 14).coalesce(1).write.mode("append").parquet(source)
+    assert run("c2") == (sorted([*good, 11, 12, 13]), [5, 10])  # a new checkpoint counts batches from 0 again
+    broken.unlink()
+    assert run("c1") == (list(range(1, 14)), []) and run("c1") == (list(range(1, 14)), [])

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.session import materialise
+
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, rank: str | None = None) -> DataFrame:
     """The first n rows of each group. Spark cuts groups to n rows before the shuffle where n is small."""
@@ -110,9 +112,10 @@ def stratified(df: DataFrame, stratum: str, key: str, n: int, seed: int | str =
 
 def numbered(df: DataFrame, order: Sequence[str], name: str = "idx", pieces: int | None = None) -> DataFrame:
     """Row numbers from 0 over the whole table in order: within ranges, then by the ranges' counts. Rows aren't sent to one task."""
-    ranged = (df.repartitionByRange(pieces, *order) if pieces else df.repartitionByRange(*order)).withColumn("__part", F.spark_partition_id())
+    # Written once: the branches below would each draw ranges of their own.
+    ranged = materialise((df.repartitionByRange(pieces, *order) if pieces else df.repartitionByRange(*order)).withColumn("__part", F.spark_partition_id()), "ranges")
     within = ranged.withColumn("__nth", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
     sizes = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
     starts = sizes.select(F.col("__part").alias("__of"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    return within.join(starts, F.col("__part") == F.col("__of")).withColumn(name, F.col("__nth") + F.col("__start") - 1).drop("__part", "__nth", "__of", "__start")
+    return within.join(F.broadcast(starts), F.col("__part") == F.col("__of")).withColumn(name, F.col("__nth") + F.col("__start") - 1).drop("__part", "__nth", "__of", "__start")

@@ -192,3 +192,9 @@ def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS idx FROM orders")
 def row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rel.numbered(table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"]).select("o_orderkey", F.col("idx").cast("long").alias("idx"))
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS idx FROM orders")
+def row_numbers_of_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rel.numbered(table(spark, sf_dir, "orders"), ["o_totalprice", "o_orderkey"], pieces=16)
+    return found.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", F.col("idx").cast("long").alias("idx"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.plans.registry import query
 from tidewell.session import fresh_path
-from tidewell.streaming.stages import stage, stored
+from tidewell.streaming.stages import failures, stage, stored
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 RESULT = "event_id bigint, user_id bigint, cents bigint, error string"
@@ -21,7 +21,7 @@ def priced(rows: list[dict]) -> list[dict]:
 
 def staged(spark: SparkSession, sf_dir: str) -> str:
     out = fresh_path(spark, "stage")
-    for _ in range(2):  # the second run finds nothing new
+    for _ in range(2):  # the second run finds nothing new, and what failed fails again
         stage(spark, f"{sf_dir}/event[s].parquet", EVENTS, "event_id", priced, RESULT, out, f"{out}/checkpoint").awaitTermination()
     return out
 
@@ -33,4 +33,4 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, 'ValueError: unpriced' AS error FROM events WHERE event_type = 'error'")
 def stream_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(spark, f"{staged(spark, sf_dir)}/failed", "event_id bigint, error string")
+    return failures(spark, staged(spark, sf_dir), "event_id", "event_id bigint, error string")

@@ -2,11 +2,15 @@
 
 A stage is a stream over a folder of Parquet files. Every micro-batch drops repeated keys and those that the
 done-table has (a stream-static anti join, so the state is a table and not memory), works on the rest, and
-appends results, failures and the done keys. Failed keys aren't done, so the next run tries them again.
+appends results, failures and the done keys. Failed keys aren't done: their rows are kept and tried again
+when the stage is next started. Output is named by the stream's id in its checkpoint and the batch, so a batch
+that is repeated after a crash overwrites its own, and a new checkpoint no one's.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -15,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewell.session import ready
+from tidewell.session import materialise, ready
 
 Work = Callable[[list[dict]], list[dict]]
 
@@ -81,21 +85,43 @@ def stage(
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
 
-    def each(batch: DataFrame, number: int) -> None:
-        s = batch.sparkSession
-        fresh = batch.dropDuplicates([key]).join(stored(s, f"{out}/done", done_schema).select(key), key, "left_anti")
-        path = f"{out}/batches/{number}"
+    def write(df: DataFrame, name: str, label: str) -> None:
+        out_of = df.withColumn("batch", F.lit(label)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", shard_rows)
+        out_of.partitionBy("batch").parquet(f"{out}/{name}")
+
+    def take(rows: DataFrame, label: str) -> None:
+        s = rows.sparkSession
+        fresh = rows.dropDuplicates([key]).join(stored(s, f"{out}/done", done_schema).select(key), key, "left_anti")
+        path = f"{out}/batches/{label}"
         worked(fresh, work, result_schema).write.mode("overwrite").parquet(path)  # work is done once, a retry overwrites
         found = s.read.schema(result_schema).parquet(path)
         good, bad = found.where("error IS NULL"), found.where("error IS NOT NULL")
-        good.drop("error").withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", shard_rows).partitionBy("batch").parquet(f"{out}/results")
-        bad.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{out}/failed")
+        write(good.drop("error"), "results", label)
+        write(bad, "failed", label)
+        write(rows.join(bad.select(key), key, "left_semi"), "again", label)
         good.select(key, F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("done_utc")).write.mode("append").parquet(f"{out}/done")
 
+    def each(batch: DataFrame, number: int) -> None:
+        stream = json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first().value)["id"]
+        take(batch, f"{stream}-{number}")
+
+    kept = stored(spark, f"{out}/again", source_schema)
+    key_schema = f"`{key}` {spark.createDataFrame([], source_schema).schema[key].dataType.simpleString()}"
+    for name in ("done", "results"):  # results without a done key: the stage ended between the two
+        kept = kept.join(stored(spark, f"{out}/{name}", key_schema), key, "left_anti")
+    if not kept.isEmpty():
+        take(materialise(kept, "again"), f"again-{uuid.uuid4().hex}")
+
     writer = reader.parquet(source).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=f"{seconds} seconds") if seconds else writer.trigger(availableNow=True)).start()
 
 
+def failures(spark: SparkSession, out: str, key: str, schema: str) -> DataFrame:
+    """What has failed and isn't done since, one row a key."""
+    had = stored(spark, f"{out}/failed", schema)
+    return had.dropDuplicates([key]).join(stored(spark, f"{out}/done", f"`{key}` {had.schema[key].dataType.simpleString()}"), key, "left_anti")
+
+
 def progress(manifest: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """One row: addresses in the manifest, of them done, and left."""
     wanted, had = manifest.select(key).distinct(), done.select(key).distinct().withColumn("had", F.lit(True))
