@@ -271,12 +271,12 @@ def _close_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     keys = by_label.groupBy("key").agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("all"))
     alone = F.col("all") - F.col("top.count")
     parts = F.pow(F.lit(2), F.greatest(F.lit(0), F.ceil(F.log2(alone / HOT_KEY)))).cast("int")
-    rows = rows.join(keys.select("key", F.col("top.label").alias("top"), parts.alias("parts")), "key")
+    rows = rows.join(keys.select("key", F.col("top.label").alias("top"), parts.alias("parts"), (alone == 1).alias("single")), "key")
     # Only now, and by sid, where the kept sets are, rows get what they are compared by.
     back = F.array(*(F.lag("key", k).over(Window.partitionBy("sid").orderBy("key")) for k in range(1, LOOK_BACK + 1)))
     rows = rows.join(sets.select("sid", *SKETCH), "sid").withColumn("back", back)
     carried = ("sid", "n", "label", "back", *SKETCH)
-    every = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("key", "part", *(F.col(c).alias(f"a_{c}") for c in carried))
+    every = rows.where("label = top OR NOT single").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("key", "part", *(F.col(c).alias(f"a_{c}") for c in carried))
     some = rows.where("label <> top").withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts"))).select(F.col("key").alias("b_key"), F.col("part").alias("b_part"), *(F.col(c).alias(f"b_{c}") for c in carried))
     close = (F.col("a_label") != F.col("b_label")) & _sizes_fit(F.col("a_n"), F.col("b_n")) & (7 * _apart() <= F.col("a_n") + F.col("b_n"))
     close = close & ~F.coalesce(F.arrays_overlap("a_back", "b_back"), F.lit(False))

@@ -22,7 +22,7 @@ from tidewell.llm.textwords import U, mix
 WIDTH = 5
 SMALL = 3
 COUNT_BITS = 22
-SKETCH_WORDS = 16  # 64-bit words of the bit sketch that candidates are compared by
+SKETCH_WORDS = 8  # 64-bit words of the bit sketch that candidates are compared by
 
 
 def set_ids(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
