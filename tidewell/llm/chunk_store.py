@@ -273,14 +273,15 @@ def verified(spark: SparkSession, store: Store, id_col: str = "doc_id") -> DataF
 
     def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            holds = []
-            for own, total, root in zip(batch.column("parts").to_pylist(), batch.column("total").to_pylist(), batch.column("root").to_pylist(), strict=True):
-                at = 0
-                for p in own:
-                    at = at + p["n"] if p["at"] == at else -1
-                holds.append(bool(own) and at == total and merkle_root([p["digest"] for p in own]) == root)
-            count = pa.array([len(p) for p in batch.column("parts").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("row", "id", "start")), count, pa.array([x and x.hex() for x in batch.column("root").to_pylist()], pa.string()), pa.array(holds, pa.bool_())], names)
+            parts, stored = batch.column("parts"), batch.column("root").to_pylist()
+            counts, flat = parts.value_lengths().fill_null(0).to_numpy(), parts.flatten()
+            heads, sizes = np.cumsum(counts) - counts, flat.field("n").to_numpy()
+            before = np.concatenate(([0], np.cumsum(sizes.astype(np.int64))))
+            wrong = np.concatenate(([0], np.cumsum(flat.field("at").to_numpy() != before[:-1] - np.repeat(before[heads], counts))))
+            whole = (wrong[heads + counts] == wrong[heads]) & (before[heads + counts] - before[heads] == batch.column("total").to_numpy()) & (counts > 0)
+            digests = flat.field("digest").to_pylist()
+            holds = [ok and merkle_root(digests[a : a + n]) == root for ok, a, n, root in zip(whole.tolist(), heads.tolist(), counts.tolist(), stored, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("row", "id", "start")), pa.array(counts, pa.int64()), pa.array([x and x.hex() for x in stored], pa.string()), pa.array(holds, pa.bool_())], names)
 
     checked = recipes.select("row", "id", "start", "total", "parts", "root").mapInArrow(roots, "row long, id long, start long, n_chunks long, root string, root_holds boolean")
     hold = F.coalesce(F.col("chunks_hold") & F.col("root_holds"), F.lit(False))
