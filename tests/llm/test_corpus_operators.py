@@ -273,16 +273,60 @@ def test_language(spark):
     assert np.mean([docs[r.doc_id] == r.lang_pred for r in held]) > 0.98 and all(0 <= r.score <= 1 for r in got)
 
 
-def test_language_code_lengths():
+def brute_code_length(trained, text, order):
+    """Bits of text after the trained texts, by escapes from the longest context down, with plain dictionaries."""
     from math import log2
 
-    # After "ab" comes a once and b twice; c needs two escapes.
-    counts = np.zeros((3, 3, 3))
-    counts[0, 1, 0], counts[0, 1, 1] = 1, 2
-    bits = language_id.code_lengths(counts)
-    assert bits[0, 1, 1] == pytest.approx(-log2(2 / 5)) and bits[0, 1, 0] == pytest.approx(-log2(1 / 5))
-    # Order 1 after b: a 1, b 2; order 0: the same counts; then equal shares.
-    assert bits[0, 1, 2] == pytest.approx(-log2(2 / 5 * 2 / 5 * 2 / 5 / 3))
+    seen = defaultdict(lambda: defaultdict(int))
+    for raw in trained:
+        padded = b" " * order + raw
+        for at in range(order, len(padded)):
+            for k in range(order + 1):
+                seen[padded[at - k : at]][padded[at]] += 1
+    bits, padded = 0.0, b" " * order + text
+    for at in range(order, len(padded)):
+        for k in range(order, -1, -1):
+            after = seen.get(padded[at - k : at])
+            if after is None:
+                continue
+            both = sum(after.values()) + len(after)
+            if padded[at] in after:
+                bits -= log2(after[padded[at]] / both)
+                break
+            bits -= log2(len(after) / both)
+        else:
+            bits += 8
+    return bits
+
+
+def test_language_code_lengths(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(3)
+    make = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(1, 80)))
+    rows = [(k, make("ab é") if k % 2 else make("bcd\n"), "xy"[k % 2]) for k in range(40)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.col("lang"))
+    asked = [make("abcdé zQ").encode() for _ in range(30)] + [b"", None, b"\x00" * 9]
+    for _ in range(2):  # new and remembered
+        got = model.lengths(asked)
+        for k, text in enumerate(asked):
+            for j, name in enumerate(model.languages):
+                want = brute_code_length([t.encode() for _, t, x in rows if x == name], text or b"", language_id.ORDER)
+                assert got[k, j] == pytest.approx(want, abs=0.01)
+
+
+def test_language_trees_are_bounded_and_keep_suffixes(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(language_id, "NODES", 1000)
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    model = language_id.fit(docs, F.col("lang"))
+    for tree in model.trees:
+        assert 0 < len(tree.nodes) <= 1000
+        nodes = set(tree.nodes.tolist())
+        for node in nodes:
+            order = node >> language_id._ABOVE
+            assert not order or node & language_id._BYTES[order - 1] | order - 1 << language_id._ABOVE in nodes
 
 
 def test_language_of_odd_texts(spark):
