@@ -370,6 +370,17 @@ def test_negative_risk_is_held_at_zero():
     assert model.score(x[:1500]).mean() > 0.7 > 0.3 > model.score(x[1500:]).mean()
 
 
+@pytest.mark.parametrize("share", [0.2, 0.5, 0.85])
+def test_class_prior_without_negatives(share):
+    rng = np.random.default_rng(1)
+    x = rng.normal(0, 1, (20000, len(quality.NAMES)))
+    good = rng.random(20000) < share
+    x[good, 0] += 5
+    trusted, every = good & (rng.random(20000) < 0.4), np.ones(20000, bool)
+    assert abs(quality.class_prior(x, trusted, every) - good.mean()) < 0.06
+    assert quality.class_prior(x, ~every, every) == quality.class_prior(x[:0], every[:0], every[:0]) == 1.0
+
+
 def test_pipeline(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "quality", "near_duplicates", "benchmark_passages", "token_ids"]

@@ -4,13 +4,15 @@ Bytes become 8-bit grey samples, one flat 8 x 8 block each, in baseline JPEG fra
 blocks: the DC step is 8, so a flat block of value v has the coefficient v - 128 and decodes to v
 exactly. The Huffman table gives difference category k a code of 9 - k bits (the all-ones code stays
 free, as JPEG asks), so that code and extra bits always make 9, and the end-of-block code is one
-bit: every block takes ten bits, which numpy packs and unpacks at once.
+bit: every block takes ten bits, which numpy packs and unpacks at once. Frames of other writers go through
+`jpeg.luma`, which reads any baseline JPEG frame that carries its own tables.
 
 Shots: histograms of 16 bins of consecutive frames differ by d; a cut stands where d passes the mean of
 the differences in a window around it by `spread` deviations and `least`. Clips are the runs between.
 
 Defined results: null is empty; an empty payload is one frame; a media value that isn't such an AVI
-gives null fields and its error; repeated rows are answered each; extra columns are ignored.
+gives null fields and its error; a file of another writer has features and clips and no payload; frames of
+several sizes in one file are an error; repeated rows are answered each; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidewell.llm.batches import id_and_text, slices, texts
+from tidewell.llm.jpeg import luma
 from tidewell.session import ready
 
 SIDE, FPS, ALIGN = 32, 25, 64
@@ -119,8 +122,8 @@ def _chunks(data: memoryview, at: int, end: int) -> Iterator[tuple[bytes, int, i
 
 @dataclass
 class Avi:
-    payload: bytes
-    frames: np.ndarray  # samples, a row a frame
+    payload: bytes | None  # None in files of other writers
+    frames: np.ndarray  # samples (pixels in files of other writers), a row a frame
     rate: float
 
 
@@ -130,24 +133,55 @@ def read_avi(media: bytes) -> Avi:
     if len(data) < 12 or data[:4] != b"RIFF" or data[8:12] != b"AVI ":
         raise ValueError("not an AVI file")
     size, rate, movi, index = None, float(FPS), None, []
-    todo = [(12, min(len(data), 8 + struct.unpack_from("<I", data, 4)[0]))]
+    end = 8 + struct.unpack_from("<I", data, 4)[0]
+    if end > len(data):
+        raise ValueError("a file is cut short")
+    todo = [(12, end)]
     while todo:
         for kind, a, b in _chunks(data, *todo.pop()):
             if kind == b"LIST" and data[a : a + 4] == b"movi":
-                movi = a
+                movi = (a, b)
             elif kind == b"LIST":
                 todo.append((a + 4, b))
-            elif kind == b"strh":
+            elif kind == b"strh" and data[a : a + 4] == b"vids":
                 scale, ticks = struct.unpack_from("<II", data, a + 20)
-                rate = ticks / max(1, scale)
+                rate = ticks / max(1, scale) or float(FPS)
             elif kind == b"strd":
                 size = struct.unpack_from("<Q", data, a)[0]
             elif kind == b"idx1":
                 index = [struct.unpack_from("<4sIII", data, k) for k in range(a, b - 15, 16)]
-    if movi is None or size is None or not index:
-        raise ValueError("no frames, index or length")
-    frames = decode_frames([bytes(data[movi + at + 8 : movi + at + 8 + n]) for kind, _, at, n in index if kind == b"00dc"])
-    return Avi(frames.tobytes()[:size], frames, rate)
+    if movi is None:
+        raise ValueError("no frames")
+    found = [bytes(data[a:b]) for a, b in (_indexed(data, movi[0], index) if index else _walked(data, movi[0] + 4, movi[1]))]
+    if not found:
+        raise ValueError("no frames")
+    if size is not None and all(f.startswith(HEAD) for f in found):
+        frames = decode_frames(found)
+        return Avi(frames.tobytes()[:size], frames, rate)
+    pixels = [luma(f) for f in found]
+    if len({x.shape for x in pixels}) > 1:
+        raise ValueError("frames of several sizes")
+    return Avi(None, np.stack([x.ravel() for x in pixels]), rate)
+
+
+def _indexed(data: memoryview, movi: int, index: list[tuple[bytes, int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Where the frames of an index lie; writers count from the list `movi` or from the file's begin."""
+    for kind, _, at, size in index:
+        if kind[2:] not in (b"dc", b"db"):
+            continue
+        place = next((k for k in (movi + at, at) if data[k : k + 4] == kind and k + 8 + size <= len(data)), None)
+        if place is None:
+            raise ValueError("the index points to no frame")
+        yield place + 8, place + 8 + size
+
+
+def _walked(data: memoryview, at: int, end: int) -> Iterator[tuple[int, int]]:
+    """Where the frames lie in a list without an index."""
+    for kind, a, b in _chunks(data, at, end):
+        if kind == b"LIST":
+            yield from _walked(data, a + 4, b)
+        elif kind[2:] in (b"dc", b"db"):
+            yield a, b
 
 
 def shots(frames: np.ndarray, window: int = WINDOW, spread: float = SPREAD, least: float = LEAST) -> tuple[list[int], np.ndarray]:
@@ -192,27 +226,28 @@ def _over_media(media: DataFrame, run, schema: str, id_col: str) -> DataFrame:
 
 
 def media_features(media: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Reads media back. Per row: id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, error."""
-    names = [id_col, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "error"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
+    """Reads media back. Per row: id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, clip_starts (seconds), error."""
+    names = [id_col, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "clip_starts", "error"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.float64()), pa.string()]
 
     def row(data: bytes | None) -> tuple:
         if data is None:
-            return (None,) * 6 + ("no media",)
+            return (None,) * 7 + ("no media",)
         try:
             avi = read_avi(data)
         except (ValueError, struct.error) as e:
-            return (None, None, None, len(data), hashlib.sha256(data).hexdigest(), None, str(e))
+            return (None, None, None, len(data), hashlib.sha256(data).hexdigest(), None, None, str(e))
         first, d = shots(avi.frames)
         feature = f"frames={len(avi.frames)};shots={len(first)};mean={avi.frames.mean():.4f};most={d.max() if len(d) else 0:.4f}"
-        return len(avi.payload), hashlib.sha256(avi.payload).hexdigest(), zlib.crc32(avi.payload[-ALIGN:]), len(data), hashlib.sha256(data).hexdigest(), feature, None
+        own = (None,) * 3 if avi.payload is None else (len(avi.payload), hashlib.sha256(avi.payload).hexdigest(), zlib.crc32(avi.payload[-ALIGN:]))
+        return *own, len(data), hashlib.sha256(data).hexdigest(), feature, [k / avi.rate for k in first], None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "media", 1 << 20):
             found = [row(x) for x in texts(batch, "media")]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_bytes"), *(pa.array([r[k] for r in found], kinds[k + 2]) for k in range(7))], names)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_bytes"), *(pa.array([r[k] for r in found], kinds[k + 2]) for k in range(8))], names)
 
-    return _over_media(media, run, f"`{id_col}` long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, error string", id_col)
+    return _over_media(media, run, f"`{id_col}` long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, clip_starts array<double>, error string", id_col)
 
 
 def clips(media: DataFrame, id_col: str = "doc_id") -> DataFrame:

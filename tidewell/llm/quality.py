@@ -3,15 +3,20 @@
 Trusted positives (label 1) and unlabelled web text are all that the fit sees. With the class prior pi
 the unbiased risk is pi R_p(+) + [R_u(-) - pi R_p(-)]; the bracket estimates the negatives' risk and is
 held at 0 or more (non-negative risk): where it falls below, the step goes the other way. Under the
-logistic loss the sigmoid of the learned function estimates P(1 | text). The prior is estimated as the
-share of positives among labelled rows of the training fold.
+logistic loss the sigmoid of the learned function estimates P(1 | text).
+
+The prior comes from positives and unlabelled rows alone: above any threshold t of a score the share of
+unlabelled rows is at least pi times the share of positives, so that the quotient of both shares bounds pi
+from above. Two first models with an even prior, each fitted on half the rows, score each other's rows; the
+threshold is that at which the quotient and its sampling error are least (best bin estimation). Rows labelled
+0 are never used.
 
 Features come from the text alone: shares of byte classes and of each punctuation sign, lengths, and
 repetition of words, word runs and lines.
 
 Defined results: null and empty texts get the features of an empty text and so a score; repeated rows
-are answered each; without positives every score is the prior (1 if there are no labels); a text of
-any length is read whole; extra columns are ignored.
+are answered each; without positives or unlabelled rows every score is 1; a text of any length is read
+whole; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -112,12 +117,27 @@ class Model:
         return 1 / (1 + np.exp(-(np.tanh(self._standard(x) @ w[0] + w[1]) @ w[2] + w[3])))
 
 
+def class_prior(x: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, steps: int = 200, error: float = 0.1, slack: float = 0.01) -> float:
+    """The share of positives among the unlabelled rows of x, in an order that says nothing. A row may be marked as both. 1 if there are too few."""
+    half = np.arange(len(x)) % 2  # a row marked twice is on one side
+    if any(not (mark & (half == k)).any() for mark in (positive, unlabelled) for k in (0, 1)):
+        return 1.0
+    scores = np.empty(len(x))
+    for k in (0, 1):
+        scores[half != k] = Model(x[positive & (half == k)], x[unlabelled & (half == k)], 0.5, steps=steps).score(x[half != k])
+    p, u = np.sort(scores[positive]), np.sort(scores[unlabelled])
+    above_p = 1 - np.arange(len(p)) / len(p)
+    above_u = 1 - np.searchsorted(u, p) / len(u)
+    spread = sum(np.sqrt(np.log(4 / error) / (2 * n)) for n in (len(p), len(u)))
+    best = np.argmin((above_u + (1 + slack) * spread) / above_p)
+    return float(np.clip(above_u[best] / above_p[best], 0.01, 1.0))
+
+
 def fit(docs: DataFrame, labels: DataFrame, fold: Column, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
     """Fits on rows of docs where `fold` (a condition on id_col) holds. An id with several labels counts with its lowest."""
     ready(docs.sparkSession)
     known = labels.where(fold).groupBy(F.col(f"`{id_col}`").cast("long").alias("p_id")).agg(F.min(label_col).alias("label")).where("p_id IS NOT NULL AND label IS NOT NULL")
-    n, ones = known.agg(F.count("*"), F.coalesce(F.sum((F.col("label") == 1).cast("long")), F.lit(0))).first()
-    prior = ones / n if n else 1.0
+    ones = known.where("label = 1").count()
     place = lambda c, salt: F.pmod(F.xxhash64(c.cast("long"), F.lit(salt)), F.lit(1 << 20))
     keep_p = int(min(1.0, positives / max(1, ones)) * (1 << 20))
     total = docs.count()
@@ -133,7 +153,8 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column, label_col: str = "qual
     rows = drawn.select("id", "text", "p", "u").mapInArrow(run, "id long, p boolean, u boolean, x array<double>").toPandas()
     rows = rows.sort_values("id", kind="stable")  # the same model whatever order rows came in
     x = np.array(rows["x"].tolist()).reshape(-1, len(NAMES))
-    return Model(x[rows["p"].to_numpy(bool)], x[rows["u"].to_numpy(bool)], prior)
+    p, u = rows["p"].to_numpy(bool), rows["u"].to_numpy(bool)
+    return Model(x[p], x[u], class_prior(x, p, u))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
