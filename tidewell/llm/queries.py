@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import chunk_store, language_id, media, quality
+from tidewell.llm import chunk_store, language_id, media, oracles, quality
 from tidewell.llm.decontamination import contamination
 from tidewell.llm.html_text import extracted
 from tidewell.llm.jaccard_join import near_duplicates
@@ -88,4 +88,4 @@ QUERIES = {
 }
 
 #: SQL for the queries that it can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_decontamination": oracles.OP1, "op4_jaccard_join": oracles.OP4}
