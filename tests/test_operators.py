@@ -154,6 +154,17 @@ def test_paged_source(spark, tmp_path):
     df = spark.read.format("paged").option("base", str(tmp_path)).option("pages", "3").schema("id bigint, taxon string").load()
     assert sorted(r.id for r in df.collect()) == [1, 2, 3]
     assert df.select(F.get_json_object("taxon", "$.name")).first()[0].startswith("t")
+    assert spark.read.format("paged").option("base", str(tmp_path)).option("pages", "1").schema("id bigint").load().count() == 2
+
+
+@pytest.mark.parametrize("parts", [1, 3, 20])
+@pytest.mark.parametrize("said", [{}, {"total_results": 28, "per_page": 2}, {"total_results": 28}])
+def test_paged_source_finds_its_end(spark, tmp_path, parts, said):
+    for n in range(14):
+        (tmp_path / f"page_{n}.json").write_text(json.dumps({"results": [{"id": 2 * n}, {"id": 2 * n + 1}], **said}))
+    spark.dataSource.register(PagedSource)
+    df = spark.read.format("paged").option("base", str(tmp_path)).option("partitions", parts).schema("id bigint").load()
+    assert sorted(r.id for r in df.collect()) == list(range(28))
 
 
 def test_retries():

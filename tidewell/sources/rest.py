@@ -1,14 +1,16 @@
 """Paginated JSON services as a Spark data source.
 
     spark.dataSource.register(PagedSource)
-    spark.read.format("paged").option("base", url_or_folder).option("pages", 8).schema(...).load()
+    spark.read.format("paged").option("base", url_or_folder).schema(...).load()
 
-`base` is an address with {page} (or {offset}), or a folder of page_<n>.json files. Pages are split over
-`partitions`; each reads its pages until one is empty or says it is the last.
+`base` is an address with {page} (or {offset}), or a folder of page_<n>.json files. Pages are dealt to
+`partitions` in turn; each reads its pages until one is empty or the last by `endOfRecords` or
+`total_results` (where the size of a page is known). Nothing has to be known beforehand; `pages` reads only so many.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
 import random
 import time
@@ -60,8 +62,9 @@ class PagedReader(DataSourceReader):
         self.schema, self.options = schema, options
 
     def partitions(self) -> list[InputPartition]:
-        pages, parts = int(self.options.get("pages", 1)), int(self.options.get("partitions", 4))
-        return [InputPartition((k, pages, parts)) for k in range(min(pages, parts))]
+        pages, parts = self.options.get("pages"), int(self.options.get("partitions", 4))
+        pages = None if pages is None else int(pages)
+        return [InputPartition((k, pages, parts)) for k in range(parts if pages is None else min(pages, parts))]
 
     def page(self, n: int) -> dict | None:
         base, size = self.options["base"], int(self.options.get("per_page", 300))
@@ -73,12 +76,13 @@ class PagedReader(DataSourceReader):
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         first, pages, step = partition.value
         names = [f.name for f in self.schema.fields]
-        for n in range(first, pages, step):
+        for n in itertools.count(first, step) if pages is None else range(first, pages, step):
             body = self.page(n)
             records = (body or {}).get("results") or []
             if not records:
                 return
             for r in records:
                 yield tuple(json.dumps(r) if c == "record" and "record" not in r else json.dumps(r[c]) if isinstance(r.get(c), (dict, list)) else r.get(c) for c in names)
-            if body.get("endOfRecords"):
+            total, size = body.get("total_results"), body.get("per_page") or self.options.get("per_page")
+            if body.get("endOfRecords") or total is not None and size and (n + 1) * int(size) >= total:
                 return
