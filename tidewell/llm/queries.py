@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import chunk_store, language_id, media, oracles, quality
+from tidewell.llm import alignment, chunk_store, language_id, media, oracles, quality
 from tidewell.llm.decontamination import contamination
 from tidewell.llm.html_text import extracted
 from tidewell.llm.jaccard_join import near_duplicates
@@ -74,6 +74,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted(table(spark, sf_dir, "pages"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
@@ -85,6 +89,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_chunk_store": op9_chunk_store,
     "op10_html_extraction": op10_html_extraction,
+    "op11_alignment": op11_alignment,
 }
 
 #: SQL for the queries that it can express.
