@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -120,7 +121,7 @@ def test_ranges_give_the_tokens_of_the_whole(paths):
         whole = in_range(al, text, 0, len(raw))
         found = [in_range(al, raw[left:right].decode(), lo - left, hi - left) for left, lo, hi, right in cut]
         assert groups_of(composed(f[0] for f in found)) == groups_of(whole[0])
-        assert Counter(p for f in found for p in f[1]) == Counter(whole[1])
+        assert Counter(p for f in found for p in f[1].tolist()) == Counter(whole[1].tolist())
         assert [sum(f[k] for f in found) for k in (2, 3)] == list(whole[2:4])
 
 
@@ -145,9 +146,26 @@ def test_empty_table(spark, paths):
 
 
 def test_memory_of_cuts_is_bounded(paths):
-    al = alignment.Aligner(*paths)
+    al, fresh = alignment.Aligner(*paths), alignment.Aligner(*paths)
     al.MOST = 10
     for k in range(30):
-        al.learn({f" w{k}", f" v{k % 4}", " " + "z" * 100})
-        al.forget_long({" " + "z" * 100})
-        assert len(al.known) <= 10 and f" w{k}" in al.known and " " + "z" * 100 not in al.known
+        met = {f" w{k}", f" v{k % 4}", " it's", "\nx", " ▁"}
+        al.learn(met)
+        fresh.learn(met)
+        assert len(al.known.number) <= 10 and met <= al.known.number.keys()
+        for c in met:
+            i, j = al.known.number[c], fresh.known.number[c]
+            assert al.known.groups[i] == fresh.known.groups[j] and al.known.exact[i] == fresh.known.exact[j] == (c != " ▁")
+            assert al.known.pairs_of(np.array([i]))[0].tolist() == fresh.known.pairs_of(np.array([j]))[0].tolist()
+
+
+def test_cuts_learnt_together_are_as_alone(paths):
+    rng = random.Random(6)
+    al = aligner(*paths)
+    words = {" " + "".join(rng.choice("aeiouthn.,'\"-1é数🙂") for _ in range(rng.randint(1, 12))) for _ in range(3000)}
+    al.learn(words)
+    for c in words:
+        t, k = al.tokens(c), al.known.number[c]
+        fragment, links = fragment_of(*t[:4])
+        assert groups_of(fragment) == al.known.groups[k] and [a << 32 | b for a, b in links] == al.known.pairs_of(np.array([k]))[0].tolist()
+        assert (len(t.a), len(t.b), t.exact) == (al.known.n_a[k], al.known.n_b[k], al.known.exact[k])

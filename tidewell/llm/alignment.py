@@ -29,6 +29,7 @@ import hashlib
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache, reduce
+from itertools import accumulate, chain
 from typing import NamedTuple
 
 import numpy as np
@@ -47,6 +48,7 @@ MARK = "▁"
 RANGE, REACH, BLOCK, FAN = 1 << 16, 1 << 12, 2 << 20, 16
 CUT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 STRICT = re.compile(r"(?<=[^\s᠎])(?= [^\s᠎])")
+PLAIN = re.compile(r"[ \n][^\s᠎]+\Z")  # a blank or line feed and a word, after which others of this kind can follow
 SAFE = re.compile(rb"(?<=[!-~]) (?=[!-~])")
 
 
@@ -112,18 +114,38 @@ class Tokens(NamedTuple):
     exact: bool  # the joined bytes of both are the cut's
 
 
-class Known(NamedTuple):
-    groups: str
-    pairs: list[int]  # A id << 32 | B id
-    n_a: int
-    n_b: int
-    exact: bool
+class Known:
+    """Cuts by number: their groups, linked pairs (A id << 32 | B id) and numbers of tokens. Cuts that aren't exact have none."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.pairs = np.empty(0, np.int64)
+        self.first, self.n_a, self.n_b, self.exact = np.zeros(1, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+
+    def add(self, cuts: list[str], groups: list[str], pairs: np.ndarray, n_links: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, exact: np.ndarray) -> None:
+        self.number.update(zip(cuts, range(len(self.groups), len(self.groups) + len(cuts)), strict=True))
+        self.groups += groups
+        self.pairs = np.concatenate((self.pairs, pairs))
+        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(n_links)))
+        self.n_a, self.n_b, self.exact = np.concatenate((self.n_a, n_a)), np.concatenate((self.n_b, n_b)), np.concatenate((self.exact, exact))
+
+    def pairs_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of cuts one after another, and how many each has."""
+        n = np.diff(self.first)[numbers] if len(numbers) else np.empty(0, np.int64)
+        at = np.repeat(self.first[numbers] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return self.pairs[at], n
+
+    def taken(self, other: Known, cuts: list[str]) -> None:
+        at = np.array([other.number[c] for c in cuts], np.int64)
+        pairs, n = other.pairs_of(at)
+        self.add(cuts, [other.groups[k] for k in at.tolist()], pairs, n, other.n_a[at], other.n_b[at], other.exact[at])
 
 
 class Aligner:
     """Tokens and groups of cuts. At MOST cuts the known ones are set aside, in place of those set aside before."""
 
-    MOST, LONGEST = 150_000, 64
+    MOST, TOGETHER = 300_000, 500
 
     def __init__(self, path_a: str, path_b: str):
         self.a = Tokenizer.from_file(path_a)
@@ -132,15 +154,18 @@ class Aligner:
         self.a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         letters = byte_letters()
-        self.bytes_a = {i: bytes(letters[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items() if all(c in letters for c in t)}
+        vocab = {i: bytes(letters[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items() if all(c in letters for c in t)}
+        self.bytes_a = [vocab.get(k, b"") for k in range(max(vocab) + 1)]
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace(MARK, " ").encode() for k, p in enumerate(pieces)]
+        self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
+        # Ids as text with what follows them: in a group's A part, at its end, in its B part, at its end.
+        self.shown = [f"{k}{c}" for n, cs in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;")) for c in cs for k in range(n)]
         self.mark = self.b.piece_to_id(MARK)
         crossing = any(re.search(f"[^{MARK}]{MARK}", p) for p in pieces)
         self.cut_lines = not crossing and not any("\n" in p for p in pieces)
         self.cut_blanks = not crossing
-        self.known: dict[str, Known] = {}
-        self.aside: dict[str, Known] = {}
+        self.known, self.aside = Known(), Known()
 
     def cuts(self, text: str) -> list[str]:
         """Parts of a text that begins with a blank. Each is encoded alone as it is in the text."""
@@ -148,40 +173,72 @@ class Aligner:
             return CUT.findall(text)
         return STRICT.split(text) if self.cut_blanks else [text]
 
-    def tokens(self, cuts: list[str]) -> list[Tokens]:
-        """B puts a blank before what it's given: cuts that begin with one go without it, others lose that first token again."""
-        every_a = [x.ids for x in self.a.encode_batch_fast(cuts, add_special_tokens=False)]
-        every_b = self.b.encode([c[1:] if c[0] == " " else c for c in cuts], num_threads=1)
-        out = []
-        for cut, a, b in zip(cuts, every_a, every_b, strict=True):
-            whole = cut.encode()
-            if cut == " ":
-                b = [self.mark]
-            elif cut[0] != " ":
-                b = b[1:] if b[:1] == [self.mark] else []
-            raw_a, raw_b = [self.bytes_a.get(k, b"") for k in a], [self.bytes_b[k] for k in b]
-            exact = b"".join(raw_a) == whole and b"".join(raw_b) == whole
-            out.append(Tokens(a, np.cumsum([len(x) for x in raw_a]).tolist(), b, np.cumsum([len(x) for x in raw_b]).tolist(), exact))
-        return out
+    def tokens(self, cut: str) -> Tokens:
+        """Tokens of one cut. B puts a blank before what it's given: cuts that begin with one go without it, others lose that first token again."""
+        whole, a = cut.encode(), self.a.encode(cut, add_special_tokens=False).ids
+        b = [self.mark] if cut == " " else self.b.encode(cut[1:] if cut[0] == " " else cut)
+        if cut[0] != " ":
+            b = b[1:] if b[:1] == [self.mark] else []
+        raw_a, raw_b = [self.bytes_a[k] for k in a], [self.bytes_b[k] for k in b]
+        exact = b"".join(raw_a) == whole and b"".join(raw_b) == whole
+        return Tokens(a, list(accumulate(map(len, raw_a))), b, list(accumulate(map(len, raw_b))), exact)
 
     def learn(self, met: set[str]) -> None:
-        new = met.difference(self.known)
-        if new and len(self.known) + len(new) > self.MOST:
-            self.aside, self.known, new = self.known, {}, met
-        again = new & self.aside.keys()
-        self.known.update((k, self.aside[k]) for k in again)
-        if new := list(new - again):
-            for cut, t in zip(new, self.tokens(new), strict=True):
-                if t.exact:
-                    fragment, links = fragment_of(*t[:4])
-                    self.known[cut] = Known(groups_of(fragment), [a << 32 | b for a, b in links], len(t.a), len(t.b), True)
-                else:
-                    self.known[cut] = Known("", [], 0, 0, False)
-
-    def forget_long(self, met: set[str]) -> None:
-        for cut in met:
-            if len(cut) > self.LONGEST:
-                self.known.pop(cut, None)
+        """All cuts that are met become known."""
+        new = met.difference(self.known.number)
+        if new and len(self.known.number) + len(new) > self.MOST:
+            self.aside, self.known, new = self.known, Known(), met
+        again = new & self.aside.number.keys()
+        if again:
+            self.known.taken(self.aside, list(again))
+        words, others = [], []
+        for cut in new - again:
+            (words if self.cut_blanks and PLAIN.match(cut) and (cut[0] == " " or self.cut_lines) else others).append(cut)
+        groups = [words[k : k + self.TOGETHER] for k in range(0, len(words), self.TOGETHER)]
+        joined = ["".join(g) for g in groups]
+        every_a = self.a.encode_batch_fast(joined, add_special_tokens=False)
+        every_b = self.b.encode([t[1:] if t[0] == " " else t for t in joined], num_threads=1)
+        found = []
+        for own, text, a, b in zip(groups, joined, every_a, every_b, strict=True):
+            if text[0] != " ":
+                b = b[1:] if b[:1] == [self.mark] else []
+            learnt = self._together(own, text.encode(), a.ids, b)
+            if learnt is None:
+                others += own
+            else:
+                found.append(learnt)
+        alone = [(c, t, *(fragment_of(*t[:4]) if t.exact else (Fragment(), []))) for c, t in zip(others, map(self.tokens, others), strict=True)]
+        numbers = (np.array(x, np.int64) for x in ([a << 32 | b for _, _, _, links in alone for a, b in links], [len(x[3]) for x in alone], *([len(t[k]) if t.exact else 0 for _, t, _, _ in alone] for k in (0, 2))))
+        found.append((others, [groups_of(x[2]) for x in alone], *numbers, np.array([x[1].exact for x in alone], bool)))
+        columns = list(zip(*found, strict=True))
+        self.known.add(*(list(chain.from_iterable(x)) for x in columns[:2]), *(np.concatenate(x) for x in columns[2:]))
+
+    def _together(self, own: list[str], text: bytes, a: list[int], b: list[int]) -> tuple | None:
+        """What Known takes of cuts, from the tokens of all of them in one text; null if its bytes aren't theirs."""
+        if b"".join([self.bytes_a[k] for k in a]) != text or b"".join([self.bytes_b[k] for k in b]) != text:
+            return None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        a_ends, b_ends, bounds = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b]), np.cumsum([len(c.encode()) for c in own])
+        at_a, at_b = np.flatnonzero(np.isin(a_ends, b_ends, assume_unique=True)), np.flatnonzero(np.isin(b_ends, a_ends, assume_unique=True))
+        shared = a_ends[at_a]
+        last = np.searchsorted(shared, bounds)
+        if last[-1] >= len(shared) or (shared[last] != bounds).any():
+            return None  # a cut doesn't end where tokens do
+        # A group's A ids, then its B ids: token k of A comes after the B tokens of all groups before its own.
+        of_a, of_b = np.searchsorted(shared, a_ends), np.searchsorted(shared, b_ends)
+        before_b, before_a = np.concatenate(([0], at_b + 1)), at_a + 1
+        place_a, place_b = np.arange(len(a)) + before_b[of_a], np.arange(len(b)) + before_a[of_b]
+        ends_a, ends_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        ends_a[at_a], ends_b[at_b] = True, True
+        order = np.empty(len(a) + len(b), np.int64)
+        order[place_a] = a + ends_a * len(self.bytes_a)
+        order[place_b] = b + ends_b * len(self.bytes_b) + 2 * len(self.bytes_a)
+        shown = self.shown
+        parts = [shown[k] for k in order.tolist()]
+        n_a, n_b, n = at_a[last] + 1, at_b[last] + 1, last + 1  # up to each cut's end
+        cuts = [0, *(n_a + n_b).tolist()]
+        step = lambda x: np.diff(x, prepend=0)
+        return own, ["".join(parts[i:j])[:-1] for i, j in zip(cuts, cuts[1:], strict=False)], a[at_a] << 32 | b[at_b], step(n), step(n_a), step(n_b), np.ones(len(own), bool)
 
 
 @lru_cache(maxsize=1)
@@ -189,82 +246,58 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-# A block: whole texts (or one range of a long one) with the distinct cuts they're made of, and its own counts of linked pairs.
+# A block: whole texts, how often each has which of the block's distinct pairs, and how often the block has them.
 BLOCK_ROW = (
-    "block string, ids array<long>, n_a array<long>, n_b array<long>, n_links array<long>, sha array<string>, word_ends array<long>, words array<int>,"
-    " pair_ends array<int>, pairs array<int>, distinct_pairs array<long>, times array<long>"
+    "block string, ids array<long>, n_a array<long>, n_b array<long>, n_links array<long>, sha array<string>, ends array<int>, pairs array<int>, uses array<int>,"
+    " distinct_pairs array<long>, times array<long>"
 )
 
 
-class Block:
-    def __init__(self) -> None:
-        self.ids, self.n_a, self.n_b, self.n_links, self.sha, self.words, self.word_ends = [], [], [], [], [], [], []
-        self.index: dict[str, int] = {}
-        self.pairs: list[list[int]] = []
-        self.bytes = 0
-
-    def add(self, id_: object, n_a: int, n_b: int, n_links: int, sha: str, words: list[int]) -> None:
-        self.ids.append(id_)
-        self.n_a.append(n_a)
-        self.n_b.append(n_b)
-        self.n_links.append(n_links)
-        self.sha.append(sha)
-        self.words += words
-        self.word_ends.append(len(self.words))
-
-    def row(self, name: str) -> pa.RecordBatch:
-        words = np.array(self.words, np.int64)
-        uses = np.bincount(words, minlength=len(self.pairs)) if len(words) else np.zeros(len(self.pairs), np.int64)
-        sizes = np.array([len(p) for p in self.pairs], np.int64)
-        flat = np.array([x for p in self.pairs for x in p], np.int64)
-        distinct, of = np.unique(flat, return_inverse=True)
-        times = np.bincount(of, np.repeat(uses, sizes), len(distinct)).astype(np.int64) if len(flat) else np.empty(0, np.int64)
-        used = times > 0
-        place = np.cumsum(used) - 1  # pairs of texts that differ from their tokens' bytes are counted nowhere
-        columns = [
-            pa.array([name]),
-            *(pa.array([x], pa.list_(t)) for x, t in ((self.ids, pa.int64()), (self.n_a, pa.int64()), (self.n_b, pa.int64()), (self.n_links, pa.int64()), (self.sha, pa.string()), (self.word_ends, pa.int64()))),
-            pa.array([words.astype(np.int32)], pa.list_(pa.int32())),
-            pa.array([np.cumsum(sizes).astype(np.int32)], pa.list_(pa.int32())),
-            pa.array([np.where(used[of], place[of], -1).astype(np.int32) if len(flat) else []], pa.list_(pa.int32())),
-            pa.array([distinct[used]], pa.list_(pa.int64())),
-            pa.array([times[used]], pa.list_(pa.int64())),
-        ]
-        return pa.RecordBatch.from_arrays(columns, [f.split(" ")[0] for f in BLOCK_ROW.split(", ")])
-
-
 def _sha(groups: str) -> str:
     return hashlib.sha256(groups.encode()).hexdigest() if groups else ""
 
 
+def _block(al: Aligner, name: str, ids: pa.Array, raw: list[bytes | None]) -> pa.RecordBatch:
+    own = [al.cuts(" " + t) if t else [] for t in map(decoded, raw)]
+    al.learn(set().union(*own))
+    known, numbers, sha = al.known, [], []
+    get, groups = known.number.__getitem__, known.groups
+    for k, cuts in enumerate(own):
+        found = list(map(get, cuts))
+        if not all(known.exact[found]):
+            found = []
+        numbers += found
+        sha.append(_sha(";".join([groups[n] for n in found])))
+        own[k] = len(found)
+    words, ends = np.array(numbers, np.int64), np.concatenate(([0], np.cumsum(own, dtype=np.int64)))
+    flat, n_links = known.pairs_of(words)
+    distinct, of = np.unique(flat, return_inverse=True)
+    sums = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[ends])
+    links = sums(n_links)
+    met, uses = np.unique(np.repeat(np.arange(len(own)), links) * len(distinct) + of, return_counts=True)
+    text_of, pair = np.divmod(met, max(1, len(distinct)))
+    one = lambda x, t: pa.array([x], pa.list_(t))
+    columns = [pa.array([name]), one(ids.to_pylist(), pa.int64()), *(one(x, pa.int64()) for x in (sums(known.n_a[words]), sums(known.n_b[words]), links)), one(sha, pa.string())]
+    columns += [one(x.astype(np.int32), pa.int32()) for x in (np.searchsorted(text_of, np.arange(len(own)), "right"), pair, uses)]
+    columns += [one(distinct, pa.int64()), one(np.bincount(of, minlength=len(distinct)), pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, [f.split(" ")[0] for f in BLOCK_ROW.split(", ")])
+
+
 def short_blocks(rows: DataFrame, path_a: str, path_b: str, most: int) -> DataFrame:
     """Blocks of the whole texts of (id, text, part)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        al, block, made, part = aligner(path_a, path_b), Block(), 0, None
+        al, ids, raw, size, made, part = aligner(path_a, path_b), [], [], 0, 0, None
         for batch in slices(batches, most=most):
             part = part or batch.column("part")[0].as_py()
-            cut = [al.cuts(" " + t) if t else [] for t in map(decoded, texts(batch))]
-            met = set().union(*cut)
-            al.learn(met)
-            known, index, pairs = al.known, block.index, block.pairs
-            for c in met.difference(index):
-                index[c] = len(pairs)
-                pairs.append(known[c].pairs)
-            for id_, own in zip(batch.column("id").to_pylist(), cut, strict=True):
-                found = [known[c] for c in own]
-                if not all([k.exact for k in found]):
-                    found, own = [], []
-                groups = ";".join([k.groups for k in found])
-                links = groups.count(";") + 1 if groups else 0
-                block.add(id_, sum([k.n_a for k in found]), sum([k.n_b for k in found]), links, _sha(groups), [index[c] for c in own])
-            al.forget_long(met)
-            block.bytes += batch.column("text").nbytes
-            if block.bytes >= most:
-                yield block.row(f"{part}-{made}")
-                block, made = Block(), made + 1
-        if block.ids:
-            yield block.row(f"{part}-{made}")
+            ids.append(batch.column("id"))
+            raw += texts(batch)
+            size += batch.column("text").nbytes
+            if size >= most:
+                yield _block(al, f"{part}-{made}", pa.concat_arrays(ids), raw)
+                ids, raw, size, made = [], [], 0, made + 1
+        if raw:
+            yield _block(al, f"{part}-{made}", pa.concat_arrays(ids), raw)
 
     return rows.mapInArrow(run, BLOCK_ROW)
 
@@ -314,35 +347,38 @@ def _facts(rows: list[tuple]) -> list[pa.Array]:
     return [pa.array(x, kinds[f.split(" ")[1]]) for x, f in zip(zip(*rows, strict=True), FACTS.split(", "), strict=True)]
 
 
-def in_range(al: Aligner, text: str, lo: int, hi: int) -> tuple[Fragment, list[int], int, int, bool]:
+def in_range(al: Aligner, text: str, lo: int, hi: int) -> tuple[Fragment, np.ndarray, int, int, bool]:
     """The fragment of the tokens that end after byte lo, up to byte hi, with their linked pairs and numbers."""
     cuts = al.cuts(text)
-    met = set(cuts)
-    al.learn(met)
-    parts, pairs, inner, n_a, n_b, exact, end = [], [], [], 0, 0, True, 0
+    al.learn(set(cuts))
+    known, parts, pairs, inner, n_a, n_b, exact, end = al.known, [], [], [], 0, 0, True, 0
+
+    def closed() -> None:
+        if inner:
+            parts.append(of_groups(";".join([known.groups[k] for k in inner])))
+            pairs.append(known.pairs_of(np.array(inner))[0])
+            inner.clear()
+
     for c in cuts:
         start, end = end, end + len(c.encode())
-        known = al.known[c]
-        exact &= known.exact
-        if not known.exact or end <= lo or start >= hi:
+        k = known.number[c]
+        exact &= bool(known.exact[k])
+        if not known.exact[k] or end <= lo or start >= hi:
             continue
         if start >= lo and end <= hi:
-            inner.append(known.groups)
-            pairs += known.pairs
-            n_a, n_b = n_a + known.n_a, n_b + known.n_b
+            inner.append(k)
+            n_a, n_b = n_a + int(known.n_a[k]), n_b + int(known.n_b[k])
             continue
-        parts += [of_groups(";".join(inner))] if inner else []
-        inner = []
-        t = al.tokens([c])[0]
+        closed()
+        t = al.tokens(c)
         own_a = [(k, e) for k, e in zip(t.a, t.a_ends, strict=True) if lo < start + e <= hi]
         own_b = [(k, e) for k, e in zip(t.b, t.b_ends, strict=True) if lo < start + e <= hi]
         fragment, links = fragment_of([k for k, _ in own_a], [e for _, e in own_a], [k for k, _ in own_b], [e for _, e in own_b])
         parts.append(fragment)
-        pairs += [a << 32 | b for a, b in links]
+        pairs.append(np.array([a << 32 | b for a, b in links], np.int64))
         n_a, n_b = n_a + len(own_a), n_b + len(own_b)
-    parts += [of_groups(";".join(inner))] if inner else []
-    al.forget_long(met)
-    return composed(parts), pairs, n_a, n_b, exact
+    closed()
+    return composed(parts), np.concatenate([np.empty(0, np.int64), *pairs]), n_a, n_b, exact
 
 
 def range_fragments(found: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -355,7 +391,7 @@ def range_fragments(found: DataFrame, path_a: str, path_b: str) -> DataFrame:
             for r in batch.to_pylist():
                 fragment, pairs, n_a, n_b, exact = in_range(al, decoded(r["text"]), r["lo"], r["hi"])
                 rows.append((r["doc"], r["id"], r["at"], exact, n_a, n_b, len(pairs), *fragment))
-                d, t = np.unique(np.array(pairs, np.int64), return_counts=True)
+                d, t = np.unique(pairs, return_counts=True)
                 distinct.append(d)
                 times.append(t.astype(np.int64))
             yield pa.RecordBatch.from_arrays([*_facts(rows), pa.array(distinct, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))], [*FACT_NAMES, "distinct_pairs", "times"])
@@ -415,18 +451,13 @@ def _summed(blocks: DataFrame) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 one = lambda c: batch.column(c)[k].values.to_numpy(zero_copy_only=False)  # noqa: B023,E731
-                pairs, of, ends, words, word_ends = one("distinct_pairs"), one("pairs"), one("pair_ends"), one("words"), one("word_ends")
-                total, best = np.zeros(len(pairs) + 1, np.int64), np.zeros(len(pairs) + 1, np.int64)
+                distinct, pairs, uses, ends = one("distinct_pairs"), one("pairs"), one("uses"), one("ends")
+                total, best = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
                 told = batch.column("told")[k].values
                 if told is not None and len(told):
-                    place = np.searchsorted(pairs, told.field("pair").to_numpy())
+                    place = np.searchsorted(distinct, told.field("pair").to_numpy())
                     total[place], best[place] = told.field("total").to_numpy(), told.field("best").to_numpy(zero_copy_only=False)
-                sums = []
-                for values in (best, total):
-                    so_far = np.concatenate(([0], np.cumsum(values[of]))) if len(of) else np.zeros(1, np.int64)
-                    by_word = np.diff(so_far[np.concatenate(([0], ends)).astype(np.int64)])
-                    over = np.concatenate(([0], np.cumsum(by_word[words]))) if len(words) else np.zeros(1, np.int64)
-                    sums.append(pa.array(np.diff(over[np.concatenate(([0], word_ends)).astype(np.int64)])))
+                sums = [pa.array(np.diff(np.concatenate(([0], np.cumsum(x[pairs] * uses)))[np.concatenate(([0], ends))])) for x in (best, total)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c)[k].values for c in ("ids", "n_a", "n_b", "n_links")), *sums, batch.column("sha")[k].values], [f.split(" ")[0] for f in RESULT.split(", ")])
 
     return blocks.mapInArrow(run, RESULT)
