@@ -9,8 +9,10 @@ from tidewell.llm import alignment, chunk_store, language_id, media, oracles, qu
 from tidewell.llm.decontamination import contamination
 from tidewell.llm.html_text import extracted
 from tidewell.llm.jaccard_join import near_duplicates
+from tidewell.llm.licences import licence_labels
 from tidewell.llm.sentencepiece_codec import encoding_report
 from tidewell.llm.sharding import bounded_ring_shards
+from tidewell.llm.spelling import variants
 from tidewell.llm.token_counts import token_counts
 
 
@@ -78,6 +80,14 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"))
+
+
+def op13_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_labels(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
@@ -90,6 +100,8 @@ QUERIES = {
     "op9_chunk_store": op9_chunk_store,
     "op10_html_extraction": op10_html_extraction,
     "op11_alignment": op11_alignment,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_licence_scan": op13_licence_scan,
 }
 
 #: SQL for the queries that it can express.
