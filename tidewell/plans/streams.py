@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewell.plans.registry import query
 from tidewell.session import fresh_path
@@ -19,9 +20,9 @@ def priced(rows: list[dict]) -> list[dict]:
     return [{"event_id": r["event_id"], "user_id": r["user_id"], "cents": round(r["value"] * 100), "error": None} for r in rows]
 
 
-def staged(spark: SparkSession, sf_dir: str) -> str:
+def staged(spark: SparkSession, sf_dir: str, starts: int = 2) -> str:
     out = fresh_path(spark, "stage")
-    for _ in range(2):  # the second run finds nothing new, and what failed fails again
+    for _ in range(starts):  # the second run finds nothing new, and what failed fails again
         stage(spark, f"{sf_dir}/event[s].parquet", EVENTS, "event_id", priced, RESULT, out, f"{out}/checkpoint").awaitTermination()
     return out
 
@@ -34,3 +35,9 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, 'ValueError: unpriced' AS error FROM events WHERE event_type = 'error'")
 def stream_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failures(spark, staged(spark, sf_dir), "event_id", "event_id bigint, error string")
+
+
+@query("SELECT event_id, CAST(1 AS BIGINT) AS kept FROM events WHERE event_type = 'error'")
+def stream_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that are kept for another try after three starts."""
+    return stored(spark, f"{staged(spark, sf_dir, 3)}/again", "event_id bigint").groupBy("event_id").agg(F.count("*").alias("kept"))

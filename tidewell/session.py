@@ -91,3 +91,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     finally:
         spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Removes a folder with all in it, in any store that Spark reads; nothing happens if there is none."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

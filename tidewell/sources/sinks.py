@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.session import ready
+from tidewell.sources.places import written
+
 
 def bounded_shards(df: DataFrame, folder: str, run: str, rows: int = 10_000) -> None:
     """Parquet files of at most `rows` rows, under run=<run>, so that readers prune by run."""
@@ -28,6 +34,21 @@ def provenance(spark: SparkSession, folder: str, kind: str, **values: object) ->
     spark.range(1).select(F.lit(kind).alias("type"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("ts"), *fields).coalesce(1).write.mode("append").json(folder)
 
 
+def files(df: DataFrame, folder: str, path: str = "path", content: str = "content") -> DataFrame:
+    """(path, size_bytes): a file a row below the folder, which all executors share, written when the rows are taken.
+    A file appears whole; of rows with equal paths one counts; null content is an empty file."""
+    ready(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, bodies = batch.column(0).to_pylist(), [x or b"" for x in batch.column(1).to_pylist()]
+            for name, body in zip(names, bodies, strict=True):
+                written(f"{folder.rstrip('/')}/{name}", body)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in bodies], pa.int64())], ["path", "size_bytes"])
+
+    return df.select(F.col(path), F.col(content)).mapInArrow(run, "path string, size_bytes long")
+
+
 def replace_role(df: DataFrame, folder: str, role: str = "dataset_role") -> None:
     """Overwrites only the roles that df has."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(role).parquet(folder)

@@ -1,8 +1,7 @@
-"""Feature extraction as a stage's work: models plug in by one protocol, a deterministic one is built in."""
+"""Feature extraction as a stage's work: models plug in by one protocol."""
 
 from __future__ import annotations
 
-import hashlib
 from typing import Protocol
 
 import numpy as np
@@ -14,17 +13,6 @@ class Extractor(Protocol):
     def embed(self, contents: list[bytes]) -> list[np.ndarray | None]: ...
 
 
-class HashExtractor:
-    """Vectors drawn from the content's hash: no model, but equal contents have equal vectors."""
-
-    def __init__(self, size: int = 16):
-        self.size = size
-
-    def embed(self, contents: list[bytes]) -> list[np.ndarray | None]:
-        seeds = [int.from_bytes(hashlib.sha256(c).digest()[:8], "big") if c else None for c in contents]
-        return [None if s is None else np.random.default_rng(s).standard_normal(self.size).astype(np.float16) for s in seeds]
-
-
 def embedding_work(extractor: Extractor, content: str = "content", key: str = "image_url_large"):
     """A stage's work: (key, cls_fp16, cls_shape, error)."""
 

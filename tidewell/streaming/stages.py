@@ -3,7 +3,7 @@
 A stage is a stream over a folder of Parquet files. Every micro-batch drops repeated keys and those that the
 done-table has (a stream-static anti join, so the state is a table and not memory), works on the rest, and
 appends results, failures and the done keys. Failed keys aren't done: their rows are kept and tried again
-when the stage is next started. Output is named by the stream's id in its checkpoint and the batch, so a batch
+when the stage is next started, one row a key, and then stand in that start's place. Output is named by the stream's id in its checkpoint and the batch, so a batch
 that is repeated after a crash overwrites its own, and a new checkpoint no one's.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewell.session import materialise, ready
+from tidewell.session import dropped, materialise, ready
 
 Work = Callable[[list[dict]], list[dict]]
 
@@ -98,19 +98,23 @@ def stage(
         good, bad = found.where("error IS NULL"), found.where("error IS NOT NULL")
         write(good.drop("error"), "results", label)
         write(bad, "failed", label)
-        write(rows.join(bad.select(key), key, "left_semi"), "again", label)
+        write(rows.join(bad.select(key), key, "left_semi").dropDuplicates([key]), "again", label)
         good.select(key, F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("done_utc")).write.mode("append").parquet(f"{out}/done")
 
     def each(batch: DataFrame, number: int) -> None:
         stream = json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first().value)["id"]
         take(batch, f"{stream}-{number}")
 
-    kept = stored(spark, f"{out}/again", source_schema)
+    tried = stored(spark, f"{out}/again", f"{source_schema}, batch string")
+    labels = [r.batch for r in tried.select("batch").distinct().collect()]  # one for each micro-batch with failures since the last start
+    kept = tried.drop("batch").dropDuplicates([key])
     key_schema = f"`{key}` {spark.createDataFrame([], source_schema).schema[key].dataType.simpleString()}"
     for name in ("done", "results"):  # results without a done key: the stage ended between the two
         kept = kept.join(stored(spark, f"{out}/{name}", key_schema), key, "left_anti")
     if not kept.isEmpty():
         take(materialise(kept, "again"), f"again-{uuid.uuid4().hex}")
+    for label in labels:  # what still fails stands under the new label
+        dropped(spark, f"{out}/again/batch={label}")
 
     writer = reader.parquet(source).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=f"{seconds} seconds") if seconds else writer.trigger(availableNow=True)).start()
