@@ -45,7 +45,7 @@ from tidewell.llm.units import RARE_SPACE
 from tidewell.session import materialise, ready
 
 MARK = "▁"
-RANGE, REACH, BLOCK, FAN = 1 << 16, 1 << 12, 2 << 20, 16
+RANGE, REACH, BLOCK, FAN = 1 << 16, 1 << 12, 1 << 20, 16
 CUT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 STRICT = re.compile(r"(?<=[^\s᠎])(?= [^\s᠎])")
 PLAIN = re.compile(r"[ \n][^\s᠎]+\Z")  # a blank or line feed and a word, after which others of this kind can follow
@@ -145,7 +145,7 @@ class Known:
 class Aligner:
     """Tokens and groups of cuts. At MOST cuts the known ones are set aside, in place of those set aside before."""
 
-    MOST, TOGETHER = 300_000, 500
+    MOST, TOGETHER = 120_000, 500
 
     def __init__(self, path_a: str, path_b: str):
         self.a = Tokenizer.from_file(path_a)
