@@ -106,29 +106,34 @@ def test_nearest(spark):
     assert nearest(q, t.limit(0), 2, "q", "v", "t", "w").count() == 0
 
 
-def test_nearest_streams_training_rows(spark, monkeypatch):
+def test_nearest_in_cells_of_both_sides(spark, monkeypatch):
     import numpy as np
 
-    from tidewell.operators import vectors
-
     x = np.random.default_rng(1).normal(size=(90, 4)).astype(np.float32).astype(float)
     t = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "t long, w array<double>").repartition(5)
     q = t.where("t % 10 = 0").withColumnsRenamed({"t": "q", "w": "v"})
     seen, kind, real = [], type(t), type(t).collect
-    monkeypatch.setattr(vectors, "MOST_QUERY_BYTES", 100, raising=False)
     monkeypatch.setattr(kind, "toPandas", lambda df: pytest.fail("a whole table goes to the driver"))
     monkeypatch.setattr(kind, "collect", lambda df: seen.append(real(df)) or seen[-1])
-    got = real(nearest(q, t, 3, "q", "v", "t", "w", block=7))
-    assert len(seen) > 1 and sum(map(len, seen)) <= 10  # 9 queries and a row of counts
+    got = real(nearest(q, t, 3, "q", "v", "t", "w", block=7, cell_bytes=100))
+    assert sum(map(len, seen)) <= 2  # rows of counts
     unit = x / np.linalg.norm(x, axis=1)[:, None]
     want = {(a, r + 1, int(b)) for a in range(0, 90, 10) for r, b in enumerate(np.argsort(1 - unit[a] @ unit.T, kind="stable")[:3])}
     assert {(r.q, r["rank"], r.t) for r in got} == want and len(got) == 27
 
 
+def test_nearest_ties_and_odd_rows(spark):
+    same = [(k, [1.0, 2.0]) for k in range(40)] + [(99, None), (98, [0.0, 0.0]), (None, [1.0, 2.0])]
+    t = spark.createDataFrame(same, "t long, w array<double>").repartition(7)
+    q = spark.createDataFrame([(1, [2.0, 4.0]), (2, None), (3, [0.0, 0.0]), (4, [-1.0, 0.0])], "q long, v array<double>")
+    got = nearest(q, t, 3, "q", "v", "t", "w", block=4, cell_bytes=64).collect()
+    assert sorted((r.q, r["rank"], r.t) for r in got) == [(a, k + 1, k) for a in (1, 4) for k in range(3)]
+
+
 def test_sources(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("occurrence.txt", "gbifID\tname\n1\tx\n2\ty\n")
-    got = tables.archive_tables(spark, str(tmp_path / "a.zip"), str(tmp_path / "s"), {"occurrence.txt": "gbifID long, name string", "multimedia.txt": "gbifID long"}, {"occurrence.txt": ["name"]})
+    got = tables.archive_tables(spark, str(tmp_path / "a.zip"), {"occurrence.txt": "gbifID long, name string", "multimedia.txt": "gbifID long"}, {"occurrence.txt": ["name"]})
     assert [r.name for r in got["occurrence.txt"].orderBy("name").collect()] == ["x", "y"] and got["multimedia.txt"].count() == 0
     (tmp_path / "plants.csv").write_text("\n" * 0 + "a\nb\nc\nd\ne\nBotanical Name,Common Name,Height (min),Is Cultivar\nSalvia apiana,White Sage,20 - 30 ft,No\n ,blank,,\n")
     plants = tables.plant_export(spark, str(tmp_path / "plants.csv")).collect()

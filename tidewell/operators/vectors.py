@@ -9,9 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.operators.relational import top_per_group
 from tidewell.session import ready
 
-MOST_QUERY_BYTES = 64 << 20
+MOST_CELL_BYTES = 64 << 20
 
 
 def channel_ranges(df: DataFrame, vector: str) -> DataFrame:
@@ -19,6 +20,12 @@ def channel_ranges(df: DataFrame, vector: str) -> DataFrame:
     return df.select(F.posexplode(vector).alias("pos", "x")).groupBy("pos").agg(F.min("x").alias("low"), F.max("x").alias("high"))
 
 
+def channel_arrays(df: DataFrame, vector: str) -> DataFrame:
+    """One row: low and high of all positions as arrays."""
+    row = F.sort_array(F.collect_list(F.struct("pos", "low", "high")))  # as many entries as a vector has
+    return channel_ranges(df, vector).agg(row.alias("r")).select(F.col("r.low").alias("low"), F.col("r.high").alias("high"))
+
+
 def moments(df: DataFrame, vector: str) -> tuple[int, np.ndarray, np.ndarray]:
     """Number, sum and Gram matrix of vectors, added up within tasks and then over them."""
     ready(df.sparkSession)
@@ -59,60 +66,63 @@ def projected(df: DataFrame, vector: str, mean: np.ndarray, components: np.ndarr
     return df.withColumns({f"{name}_{k}": dot(w) for k, w in enumerate(components)})
 
 
-def nearest(queries: DataFrame, training: DataFrame, k: int, query_id: str, vector: str, training_id: str, training_vector: str, block: int = 1024) -> DataFrame:
+def _top(x: np.ndarray, ids: np.ndarray, t: np.ndarray, k: int, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of x, id, distance) of the k nearest of t for each row of x, `block` x `block` distances at a time. Distances have 12 decimals, so equal vectors are tied."""
+    rows, best, near = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    for a in range(0, len(x), block):
+        held = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+        for b in range(0, len(t), block):
+            d = np.round(1 - x[a : a + block] @ t[b : b + block].T, 12)
+            limit = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1]
+            r, c = np.nonzero(d <= limit[:, None])
+            held = tuple(np.concatenate(z) for z in zip(held, (r, ids[b + c], d[r, c]), strict=True))
+            order = np.lexsort((held[1], held[2], held[0]))
+            r = held[0][order]
+            first = np.searchsorted(r, r)  # where a row's candidates begin
+            held = tuple(z[order][np.arange(len(r)) - first < k] for z in held)
+        rows, best, near = np.concatenate((rows, a + held[0])), np.concatenate((best, held[1])), np.concatenate((near, held[2]))
+    return rows, best, near
+
+
+def nearest(queries: DataFrame, training: DataFrame, k: int, query_id: str, vector: str, training_id: str, training_vector: str, block: int = 1024, cell_bytes: int = MOST_CELL_BYTES) -> DataFrame:
     """(query_id, rank from 1, training_id, distance): the k nearest by cosine distance, ties by id.
 
-    The queries go to every task in blocks of a bounded size, and training rows stream past them, `block` at a
-    time; a task keeps k rows a query, and the tasks' rows are merged by rank. Zero and null vectors have no
-    neighbours and are none.
+    Both sides are cut into parts of at most about `cell_bytes` by hash, and each part of queries meets each
+    part of training rows in a task that gives k rows a query; these are merged by rank. Nothing passes the
+    driver but the two counts. Zero and null vectors have no neighbours and are none; so are rows without id.
     """
     spark = ready(queries.sparkSession)
-    rows = training.select(F.col(training_id).cast("long").alias("id"), F.col(training_vector).cast("array<float>").cast("array<double>").alias("v")).where("v IS NOT NULL AND id IS NOT NULL")
-    asked = queries.select(F.col(query_id).cast("long").alias("q"), F.col(vector).cast("array<double>").alias("v")).where("v IS NOT NULL")
-    n, size = asked.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
-    blocks = max(1, -(-n * size * 8 // MOST_QUERY_BYTES))
-    out = None
-    for b in range(blocks):
-        part = asked.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == b) if blocks > 1 else asked
-        local = [(r.q, r.v) for r in part.collect() if any(r.v)]  # at most about MOST_QUERY_BYTES of numbers
-        x = np.array([v for _, v in local], np.float64).reshape(len(local), -1 if local else size)
-        held = spark.sparkContext.broadcast(([q for q, _ in local], x / np.linalg.norm(x, axis=1)[:, None]))
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            asked_ids, x = held.value
-            if not asked_ids:
-                return
-            best, near = np.empty((len(x), 0), np.int64), np.empty((len(x), 0))
-            for batch in batches:
-                for at in range(0, batch.num_rows, block):
-                    piece = batch.slice(at, block)
-                    known = [(i, v) for i, v in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True) if any(v)]
-                    if not known:
-                        continue
-                    t = np.array([v for _, v in known], np.float64)
-                    t, ids = (t / np.linalg.norm(t, axis=1)[:, None]).T, np.array([i for i, _ in known], np.int64)
-                    kept = []
-                    for a in range(0, len(x), block):  # at most block x block distances at once
-                        distance = np.concatenate((near[a : a + block], 1 - x[a : a + block] @ t), 1)
-                        every = np.concatenate((best[a : a + block], np.broadcast_to(ids, (len(distance), len(ids)))), 1)
-                        order = np.lexsort((every, distance), axis=1)[:, :k]
-                        kept.append((np.take_along_axis(every, order, 1), np.take_along_axis(distance, order, 1)))
-                    best, near = (np.concatenate(c) for c in zip(*kept, strict=True))
-            m = best.shape[1]
-            for a in range(0, len(x) if m else 0, block):
-                asked_here = [q for q in asked_ids[a : a + block] for _ in range(m)]
-                yield pa.RecordBatch.from_arrays([pa.array(asked_here, pa.int64()), pa.array(best[a : a + block].ravel()), pa.array(near[a : a + block].ravel())], ["q", "t", "distance"])
-
-        found = rows.mapInArrow(run, "q long, t long, distance double")
-        out = found if out is None else out.unionByName(found)
-    from tidewell.operators.relational import top_per_group
-
-    ranked = top_per_group(out, ["q"], [F.col("distance"), F.col("t")], k, "rank")
+    wide = lambda c: F.col(c).cast("array<float>").cast("array<double>").alias("v")
+    asked = queries.select(F.col(query_id).cast("long").alias("q"), F.col(vector).cast("array<double>").alias("v")).where("v IS NOT NULL AND q IS NOT NULL AND exists(v, e -> e <> 0)")
+    rows = training.select(F.col(training_id).cast("long").alias("id"), wide(training_vector)).where("v IS NOT NULL AND id IS NOT NULL AND exists(v, e -> e <> 0)")
+    figures = [df.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(1))).first() for df in (asked, rows)]
+    parts = [max(1, -(-n * size * 8 // cell_bytes)) for n, size in figures]
+    parts[1] = max(parts[1], min(spark.sparkContext.defaultParallelism, -(-figures[1][0] // 2000)))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = asked.withColumn("qc", F.pmod(F.xxhash64("q", "v"), F.lit(parts[0])).cast("int")).withColumn("tc", every(parts[1]))
+    right = rows.withColumn("tc", F.pmod(F.xxhash64("id", "v"), F.lit(parts[1])).cast("int")).withColumn("qc", every(parts[0]))
+
+    def matrix(table: pa.Table) -> np.ndarray:
+        x = np.array(table.column("v").to_pylist(), np.float64)
+        return x / np.linalg.norm(x, axis=1)[:, None]
+
+    def cell(one: pa.Table, other: pa.Table) -> pa.Table:
+        names = ["q", "t", "distance"]
+        if not one.num_rows or not other.num_rows:
+            return pa.Table.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names)
+        at, t, d = _top(matrix(one), other.column("id").to_numpy(), matrix(other), k, block)
+        return pa.Table.from_arrays([pa.array(one.column("q").to_numpy()[at]), pa.array(t), pa.array(d)], names)
+
+    found = left.groupBy("qc", "tc").cogroup(right.groupBy("qc", "tc")).applyInArrow(cell, "q long, t long, distance double")
+    ranked = top_per_group(found, ["q"], [F.col("distance"), F.col("t")], k, "rank")
     return ranked.select(F.col("q").alias(query_id), "rank", F.col("t").alias(training_id), "distance")
 
 
 def weighted_projection(neighbours: DataFrame, targets: DataFrame, query_id: str, training_id: str, target: str) -> DataFrame:
-    """(query_id, pos, value): targets of neighbours weighted by 1 / (distance + 1e-6)."""
-    w = 1 / (F.col("distance") + 1e-6)
-    each = neighbours.join(targets.select(training_id, F.posexplode(target).alias("pos", "x")), training_id)
-    return each.groupBy(query_id, "pos").agg((F.sum(w * F.col("x")) / F.sum(w)).alias("value"))
+    """(query_id, pos, value): targets of neighbours weighted by 1 / (distance + 1e-6). A query's neighbours, which are few, are one row."""
+    w = (1 / (F.col("distance") + 1e-6)).alias("w")
+    near = neighbours.join(targets.select(training_id, F.col(target).cast("array<double>").alias("x")), training_id).groupBy(query_id).agg(F.sort_array(F.collect_list(F.struct(w, "x"))).alias("near"))
+    total = lambda of: F.aggregate("near", F.lit(0.0), lambda s, r: s + of(r))
+    places = F.sequence(F.lit(0), F.size(F.col("near")[0]["x"]) - 1)
+    values = F.transform(places, lambda p: total(lambda r: r["w"] * F.get(r["x"], p)) / total(lambda r: r["w"]))
+    return near.select(query_id, F.posexplode(values).alias("pos", "value"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.plans.registry import query
 from tidewell.session import fresh_path
+from tidewell.streaming import jobs
 from tidewell.streaming.stages import failures, stage, stored
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -41,3 +42,27 @@ def stream_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that are kept for another try after three starts."""
     return stored(spark, f"{staged(spark, sf_dir, 3)}/again", "event_id bigint").groupBy("event_id").agg(F.count("*").alias("kept"))
+
+
+HOURS = 6
+
+
+@query(f"""
+WITH e AS (SELECT user_id, ts, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k, min(ts) OVER (PARTITION BY user_id) + INTERVAL {HOURS} HOUR AS due, max(ts) OVER () AS last FROM events),
+f AS (SELECT user_id, due, last, min(CASE WHEN event_type IN ('purchase', 'error') AND k > 1 AND ts <= due THEN k END) AS final FROM e GROUP BY ALL)
+SELECT CAST(f.user_id AS VARCHAR) AS job, CASE e.event_type WHEN 'purchase' THEN 'ready' WHEN 'error' THEN 'failed' ELSE 'expired' END AS action,
+  date_trunc('milliseconds', CASE WHEN final IS NULL THEN f.due ELSE e.ts END) AS at FROM f LEFT JOIN e ON e.user_id = f.user_id AND k = final WHERE final IS NOT NULL OR f.due < f.last""")
+def job_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user a job that is submitted by their first event; purchases are final answers, errors failures, and what has none in six hours expires."""
+    out = fresh_path(spark, "jobs")
+    status = F.when(F.col("event_type") == "purchase", "SUCCEEDED").when(F.col("event_type") == "error", "FAILED").otherwise("RUNNING")
+    rows = spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/event[s].parquet").select(F.col("user_id").cast("string").alias("job"), F.col("ts").cast("timestamp").alias("at"), "event_type", status.alias("status"), F.col("event_id").alias("seq"))
+    events = rows.select("job", "at", F.lit("answer").alias("kind"), "status", "seq")
+    before = spark.conf.get(jobs.STORE)
+    jobs.with_timers(spark)
+    try:
+        found = jobs.tracked(events, poll=10**9, expire=HOURS * 3600, keep=10**9, first_submits=True)
+        found.writeStream.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).format("parquet").start(f"{out}/actions").awaitTermination()
+    finally:
+        spark.conf.set(jobs.STORE, before)
+    return stored(spark, f"{out}/actions", jobs.ACTIONS).where("action IN ('ready', 'failed', 'expired')").select("job", "action", F.col("at").cast("timestamp_ntz").alias("at"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+import uuid
+import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -9,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.session import ready
-from tidewell.sources.places import written
+from tidewell.sources.places import place, written
 
 
 def bounded_shards(df: DataFrame, folder: str, run: str, rows: int = 10_000) -> None:
@@ -49,6 +52,33 @@ def files(df: DataFrame, folder: str, path: str = "path", content: str = "conten
     return df.select(F.col(path), F.col(content)).mapInArrow(run, "path string, size_bytes long")
 
 
+def archives(df: DataFrame, folder: str, member: str, stored: bool = False) -> DataFrame:
+    """(path, n_rows): a zip archive for each partition that has rows, with them as tab-separated text in one member, written as they come.
+    Null is an empty cell; tabs and line ends in cells become blanks."""
+    ready(df.sparkSession)
+    names, kind = df.columns, zipfile.ZIP_STORED if stored else zipfile.ZIP_DEFLATED
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = (b for b in batches if b.num_rows)
+        first, n = next(batches, None), 0
+        if first is None:
+            return
+        store, root = place(folder.rstrip("/"))
+        store.create_dir(root, recursive=True)
+        name = f"{uuid.uuid4().hex}.zip"
+        with store.open_output_stream(f"{root}/{name}.tmp") as out, zipfile.ZipFile(out, "w", kind) as z, z.open(member, "w", force_zip64=True) as f:
+            f.write(("\t".join(names) + "\n").encode())
+            for batch in itertools.chain([first], batches):
+                cells = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+                f.write("".join("\t".join(x or "" for x in row) + "\n" for row in cells).encode())
+                n += batch.num_rows
+        store.move(f"{root}/{name}.tmp", f"{root}/{name}")
+        yield pa.RecordBatch.from_arrays([pa.array([f"{folder.rstrip('/')}/{name}"]), pa.array([n], pa.int64())], ["path", "n_rows"])
+
+    text = [F.translate(F.col(f"`{c}`").cast("string"), "\t\r\n", "   ").alias(c) for c in names]
+    return df.select(*text).mapInArrow(run, "path string, n_rows long")
+
+
 def replace_role(df: DataFrame, folder: str, role: str = "dataset_role") -> None:
     """Overwrites only the roles that df has."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(role).parquet(folder)
