@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 
 from tidewell.llm.queries import op12_spelling_variants, table
-from tidewell.llm.spelling import grams_of, last_of, near_pairs, spelt, variants
+from tidewell.llm.spelling import grams_of, last_of, near_pairs, taken, variants
 
 LOWER = str.maketrans({chr(k): chr(k + 32) for k in range(65, 91)})
 
@@ -96,7 +96,9 @@ def test_variants(spark):
 
 def test_a_deletion_for_one_hash_in_97():
     words = [f"abcde{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}" for k in range(676)]
-    got = spelt(3, Counter(words))
+    got = Counter()
+    taken(got, 3, " ".join(words))
+    got += Counter()  # without zeros
     want = Counter()
     for w in words:
         h = zlib.crc32(f"3:{w}".encode())

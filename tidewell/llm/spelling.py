@@ -28,38 +28,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.batches import decoded, id_and_text, slices, texts
+from tidewell.llm.textwords import LOWER
 from tidewell.session import materialise, ready
 
 SHORTEST, LEAST, SPOILED = 5, 3, 97
 RUN = re.compile(f"[A-Za-zÀ-ÿ]{{{SHORTEST},}}")
-LOWER = {k: k + 32 for k in range(65, 91)}
-HELD, STRETCH = 200_000, 1 << 20  # words that a task holds, and runs it takes from a text at once
+WHOLE = 2  # see _keys
+HELD = 200_000  # words that a task holds
 
 
-def lowered(run: str) -> str:
-    return run.lower() if run.isascii() else run.translate(LOWER)
-
-
-def spelt(id_: int | None, runs: Counter) -> Counter:
-    """Words of a document's runs; where 97 divides the hash of id and run, one code point is missing."""
+def taken(held: Counter, id_: int | None, text: str) -> None:
+    """Counts the words of a lower-cased text; where 97 divides the hash of id and run, one code point is missing."""
     start = zlib.crc32(f"{'' if id_ is None else id_}:".encode())
-    words: Counter = Counter()
-    for run, n in runs.items():
-        word = lowered(run)
-        h = zlib.crc32(word.encode(), start)
-        if h % SPOILED == 0:
-            k = h % len(word)
-            word = word[:k] + word[k + 1 :]
-            if len(word) < SHORTEST:
-                continue
-        words[word] += n
-    return words
-
-
-def _runs(text: str) -> Counter:
-    if len(text) <= STRETCH:
-        return Counter(RUN.findall(text))
-    return Counter(m.group() for m in RUN.finditer(text))
+    runs = RUN.findall(text)
+    held.update(runs)
+    crc = zlib.crc32
+    for run in [r for r in set(runs) if not crc(r.encode(), start) % SPOILED]:
+        n, k = runs.count(run), crc(run.encode(), start) % len(run)
+        held[run] -= n
+        if len(run) > SHORTEST:
+            held[run[:k] + run[k + 1 :]] += n
 
 
 def words_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -76,7 +64,7 @@ def words_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
         for batch in slices(batches):
             for id_, raw in zip(batch.column("id").to_pylist(), texts(batch), strict=True):
-                held.update(spelt(id_, _runs(decoded(raw))))
+                taken(held, id_, decoded(raw and raw.translate(LOWER)))
                 if len(held) >= HELD:
                     yield row()
         if held:
@@ -111,8 +99,25 @@ def grams_of(word: str, counts: dict[str, int]) -> tuple[list[int], list[int]]:
 
 
 def _keys(word: str, places: list[int]) -> list[str]:
-    """All up to a bigram's end, and all from its beginning."""
-    return [x for k in places for x in ("<" + word[: k + 2], ">" + word[k:])]
+    """What two near words share beside a bigram at a place, if it's left: all up to its end, or all from its beginning, and of
+    the other side all but one half, which holds the edit. n is the shorter word's length, its own or one less; sides
+    of at most WHOLE code points aren't halved. Both words have the same key, whichever is the shorter."""
+    out, size = [], len(word)
+    for n in (size, size - 1):
+        for k in places:
+            m = n - k - 2  # code points after the bigram in the shorter word
+            if m >= 0:
+                a = m // 2 if m > WHOLE else 0
+                out.append(f"{n}<{k}<{word[: k + 2 + a]}")
+                if a:
+                    out.append(f"{n}<{k}>{word[: k + 2]}{word[size - m + a :]}")
+            m, t = n - size + k, size - k  # those before it, and its distance from the end
+            if m >= 0:
+                a = m // 2 if m > WHOLE else 0
+                out.append(f"{n}>{t}>{word[:a]}{word[k:]}")
+                if a:
+                    out.append(f"{n}>{t}<{word[k - m + a :]}")
+    return out
 
 
 def keyed(words: DataFrame, counts: dict[str, int]) -> DataFrame:
