@@ -1,8 +1,12 @@
 import hashlib
+import time
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from tidewell.streaming.done import DoneTable, bloom, passing
 from tidewell.streaming.features import embedding_work
+from tidewell.streaming.pace import Pace, paced, room
 from tidewell.streaming.stages import failures, stage, stored
 
 
@@ -75,3 +79,69 @@ def test_rows_kept_for_retry_stay_one_a_key_over_many_starts(spark, tmp_path):
         kept = sorted(r.id for r in stored(spark, f"{out}/again", "id bigint, x string").collect())
         assert set(kept) == ({1, 2} if k < 3 else {1, 2, 3}) and len(kept) <= len(set(kept)) + (k == 3)  # 2 came again at k = 3
     assert kept == [1, 2, 3]
+
+
+def test_filters_pass_all_their_keys_and_few_others():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 1000, 30_000):
+        h, g = (rng.integers(-(2**63), 2**63 - 1, 2 * n) for _ in range(2))
+        bits = bloom(h[:n], g[:n])
+        assert passing(h[:n], g[:n], bits).all() and passing(h[n:], g[n:], bits).mean() <= 0.01 + (n == 1)
+
+
+def test_only_files_that_may_hold_keys_are_read(spark, tmp_path):
+    done = DoneTable(spark, str(tmp_path), "id", "bigint")
+    assert done.unseen(spark.range(5)).count() == 5
+    for k in range(4):
+        done.add(spark.range(k * 1000, k * 1000 + 1000), f"b{k}")
+    new = spark.range(100_000, 100_500)
+    assert len(done.may_hold(new)) <= 8 and done.unseen(new).count() == 500  # of 256 files
+    some = spark.createDataFrame([(1500,), (1501,), (77_777,), (None,)], "id bigint")
+    files = done.may_hold(some)
+    assert {x for x, _ in files} >= {"b1"} and len(files) <= 4
+    assert sorted(r.id or -1 for r in done.unseen(some).collect()) == [-1, 77_777]
+    assert done.unseen(some, "b1").count() == 4
+    done.add(spark.range(1500, 1501), "b1")  # a batch that is repeated
+    assert sorted(r.id or -1 for r in done.unseen(some).collect()) == [-1, 1501, 77_777]
+    assert done.merged("all") == 4 and done.unseen(spark.range(4000)).count() == 999 and {x for x, _ in done.may_hold(spark.range(9))} == {"all"}
+
+
+def test_text_keys(spark, tmp_path):
+    done = DoneTable(spark, str(tmp_path), "url", "string")
+    done.add(spark.createDataFrame([("a", "t"), ("é", "t"), (None, "t")], "url string, done_utc string"), "x")
+    assert sorted(r.url for r in done.unseen(spark.createDataFrame([("a",), ("b",), ("é",)], "url string")).collect()) == ["b"]
+
+
+def test_portions_wait_for_room(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(40).selectExpr("id", "100L AS size").coalesce(1).write.parquet(source)
+    asked = []
+
+    def free():
+        asked.append(stored(spark, f"{out}/results", "id bigint").count())
+        return 1000 if len(asked) % 2 == 0 else 0
+
+    work = lambda rows: [{"id": r["id"], "error": None} for r in rows]
+    stage(spark, source, "id bigint, size bigint", "id", work, "id bigint, error string", out, str(tmp_path / "c"), size="size", portion_bytes=1000, free=free).awaitTermination()
+    assert sorted(r.id for r in stored(spark, f"{out}/results", "id bigint").collect()) == list(range(40))
+    assert len(asked) == 8 and asked == sorted(asked) and 0 < asked[-1] < 40
+
+
+def test_pace_by_observed_batches(spark, tmp_path):
+    source = str(tmp_path / "in")
+    for k in range(3):
+        spark.range(k * 10, k * 10 + 10).selectExpr("id", "7 AS size").coalesce(1).write.mode("append").parquet(source)
+    now = iter(range(0, 1000, 5))
+    pace = Pace("p", lambda: next(now))
+    spark.streams.addListener(pace)
+    try:
+        df = paced(spark.readStream.schema("id bigint, size int").option("maxFilesPerTrigger", 1).parquet(source), F.col("size"), "p")
+        df.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+        deadline = time.time() + 20
+        while pace.batches < 3 and time.time() < deadline:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(pace)
+    assert pace.report(60) == {"rows": 30, "bytes": 210, "seconds": 15, "rows_per_s": 2.0, "seconds_left": 15.0}
+    waits = iter([5, 5, 20])
+    assert room(lambda: next(waits), 10, 2, lambda s: None) == 4

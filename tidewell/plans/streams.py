@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.plans.registry import query
+from tidewell.plans.registry import query, table
 from tidewell.session import fresh_path
 from tidewell.streaming import jobs
+from tidewell.streaming.done import DoneTable
+from tidewell.streaming.pace import with_progress
 from tidewell.streaming.stages import failures, stage, stored
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -66,3 +68,20 @@ def job_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     finally:
         spark.conf.set(jobs.STORE, before)
     return stored(spark, f"{out}/actions", jobs.ACTIONS).where("action IN ('ready', 'failed', 'expired')").select("job", "action", F.col("at").cast("timestamp_ntz").alias("at"))
+
+
+@query("SELECT event_id FROM events WHERE event_type NOT IN ('purchase', 'error')")
+def done_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events without those that were done in two batches, by filters of the files of keys."""
+    done, e = DoneTable(spark, fresh_path(spark, "done"), "event_id", "bigint"), table(spark, sf_dir, "events")
+    for kind in ("purchase", "error"):
+        done.add(e.where(F.col("event_type") == kind).select("event_id"), kind)
+    return done.unseen(e.select("event_id"))
+
+
+@query("""
+SELECT o_orderpriority, count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS done, round(count(*) FILTER (o_orderstatus = 'F') / 60.0, 6) AS rate,
+  round((count(*) - count(*) FILTER (o_orderstatus = 'F')) / (count(*) FILTER (o_orderstatus = 'F') / 60.0), 6) AS seconds_left FROM orders GROUP BY 1""")
+def progress_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("total"), F.count_if(F.col("o_orderstatus") == "F").alias("done"))
+    return with_progress(counts, F.col("total"), F.col("done"), F.lit(60.0)).withColumns({"rate": F.round("rate", 6), "seconds_left": F.round("seconds_left", 6)})

@@ -1,10 +1,11 @@
 """Resumable stages over files: each takes what the one before wrote, once by key, whatever restarts come between.
 
 A stage is a stream over a folder of Parquet files. Every micro-batch drops repeated keys and those that the
-done-table has (a stream-static anti join, so the state is a table and not memory), works on the rest, and
-appends results, failures and the done keys. Failed keys aren't done: their rows are kept and tried again
-when the stage is next started, one row a key, and then stand in that start's place. Output is named by the stream's id in its checkpoint and the batch, so a batch
-that is repeated after a crash overwrites its own, and a new checkpoint no one's.
+done-table has (so the state is a table and not memory; see done.py), works on the rest, and appends
+results, failures and the done keys. Failed keys aren't done: their rows are kept and tried again when the
+stage is next started, one row a key, and then stand in that start's place. Output is named by the stream's id
+in its checkpoint and the batch, so a batch that is repeated after a crash overwrites its own, and a new
+checkpoint no one's.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewell.session import dropped, materialise, ready
+from tidewell.streaming.done import DoneTable
+from tidewell.streaming.pace import room
 
 Work = Callable[[list[dict]], list[dict]]
 
@@ -78,9 +81,16 @@ def stage(
     seconds: float = 0,
     files_per_trigger: int | None = None,
     shard_rows: int = 10_000,
+    size: str | None = None,
+    portion_bytes: int = 1 << 30,
+    free: Callable[[], int] | None = None,
 ) -> StreamingQuery:
-    """Starts a stage. seconds = 0 takes all there is and stops; otherwise it polls. Writes out/results, out/failed and out/done."""
-    done_schema = f"`{key}` {spark.createDataFrame([], source_schema).schema[key].dataType.simpleString()}, done_utc string"
+    """Starts a stage. seconds = 0 takes all there is and stops; otherwise it polls. Writes out/results, out/failed and out/done.
+
+    Given `size` (a column of bytes) a batch is worked on in portions of about portion_bytes, and given `free` each waits
+    until that many bytes are free, so what a stage writes ahead of those who take it away is bounded.
+    """
+    kind = spark.createDataFrame([], source_schema).schema[key].dataType.simpleString()
     reader = spark.readStream.schema(source_schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -91,7 +101,8 @@ def stage(
 
     def take(rows: DataFrame, label: str) -> None:
         s = rows.sparkSession
-        fresh = rows.dropDuplicates([key]).join(stored(s, f"{out}/done", done_schema).select(key), key, "left_anti")
+        done = DoneTable(s, f"{out}/done", key, kind)
+        fresh = done.unseen(rows.dropDuplicates([key]), label)  # a batch that is repeated does its own again
         path = f"{out}/batches/{label}"
         worked(fresh, work, result_schema).write.mode("overwrite").parquet(path)  # work is done once, a retry overwrites
         found = s.read.schema(result_schema).parquet(path)
@@ -99,18 +110,25 @@ def stage(
         write(good.drop("error"), "results", label)
         write(bad, "failed", label)
         write(rows.join(bad.select(key), key, "left_semi").dropDuplicates([key]), "again", label)
-        good.select(key, F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("done_utc")).write.mode("append").parquet(f"{out}/done")
+        done.add(good.select(key, F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("done_utc")), label)
 
     def each(batch: DataFrame, number: int) -> None:
         stream = json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first().value)["id"]
-        take(batch, f"{stream}-{number}")
+        if size is None:
+            take(batch, f"{stream}-{number}")
+            return
+        total = batch.agg(F.sum(F.col(size).cast("long"))).first()[0] or 0
+        portions = max(1, -(-total // portion_bytes))  # by the batch alone, so a batch that is repeated has the same
+        for k in range(portions):
+            if free is not None:
+                room(free, min(portion_bytes, total))
+            take(batch.where(F.pmod(F.xxhash64(key), F.lit(portions)) == k), f"{stream}-{number}-{k}")
 
     tried = stored(spark, f"{out}/again", f"{source_schema}, batch string")
     labels = [r.batch for r in tried.select("batch").distinct().collect()]  # one for each micro-batch with failures since the last start
     kept = tried.drop("batch").dropDuplicates([key])
-    key_schema = f"`{key}` {spark.createDataFrame([], source_schema).schema[key].dataType.simpleString()}"
-    for name in ("done", "results"):  # results without a done key: the stage ended between the two
-        kept = kept.join(stored(spark, f"{out}/{name}", key_schema), key, "left_anti")
+    kept = DoneTable(spark, f"{out}/done", key, kind).unseen(kept)
+    kept = kept.join(stored(spark, f"{out}/results", f"`{key}` {kind}"), key, "left_anti")  # results without a done key: the stage ended between the two
     if not kept.isEmpty():
         take(materialise(kept, "again"), f"again-{uuid.uuid4().hex}")
     for label in labels:  # what still fails stands under the new label
@@ -123,7 +141,7 @@ def stage(
 def failures(spark: SparkSession, out: str, key: str, schema: str) -> DataFrame:
     """What has failed and isn't done since, one row a key."""
     had = stored(spark, f"{out}/failed", schema)
-    return had.dropDuplicates([key]).join(stored(spark, f"{out}/done", f"`{key}` {had.schema[key].dataType.simpleString()}"), key, "left_anti")
+    return DoneTable(spark, f"{out}/done", key, had.schema[key].dataType.simpleString()).unseen(had.dropDuplicates([key]))
 
 
 def progress(manifest: DataFrame, done: DataFrame, key: str) -> DataFrame:
