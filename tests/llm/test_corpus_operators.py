@@ -393,3 +393,22 @@ def test_pipeline(spark, sf_dir):
     assert contamination(before, table(spark, sf_dir, "benchmark")).where("contaminated").count() == 0
     final = corpus_pipeline.run(spark, sf_dir)
     assert final.count() == before.count() and final.where("NOT same_ids").count() == 0
+
+
+def test_what_is_left_of_a_text_and_names_of_users_columns(spark, monkeypatch):
+    from tidewell.llm import decontamination as d
+
+    passage = " ".join(f"a{k}" for k in range(12))
+    bench = spark.createDataFrame([(1, passage), (2, " ".join(f"b{k}" for k in range(12)))], "item_id long, text string")
+    rows = [(1, passage + " 。", "s", "c", "k", 7), (2, passage + " .,", "s", "c", "k", 7), (3, "clean", "s", "c", "k", 7), (4, None, "s", "c", "k", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, TEXT string, __spans string, __cut string, __keep string, __nth int")
+    want = [(1, "。"), (3, "clean"), (4, None)]
+    for most in (d.benchmark_blocks.__defaults__ and None, 60):
+        if most:
+            real = d.benchmark_blocks
+            monkeypatch.setattr(d, "benchmark_blocks", lambda *a, **k: real(*a, **(k | {"most": most})))  # noqa: B023
+        got = decontaminate(docs, bench)
+        assert got.columns == docs.columns
+        assert sorted((r.doc_id, r.TEXT) for r in got.collect()) == want
+    one = one_of_each(docs.unionByName(docs))
+    assert one.columns == docs.columns and sorted(r.doc_id for r in one.collect()) == [1, 3, 4]

@@ -43,13 +43,27 @@ def decoded(raw: bytes | None) -> str:
     return raw.decode("utf-8", "replace") if raw else ""
 
 
+def place_of(df: DataFrame, name: str) -> int:
+    """Where a column stands, by its name or, as Spark finds it, by the name in other case; -1 if there is none."""
+    names = df.columns
+    return names.index(name) if name in names else next((k for k, c in enumerate(names) if c.lower() == name.lower()), -1)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with signs added while df has a column of it."""
+    while place_of(df, name) >= 0:
+        name += "_"
+    return name
+
+
 def rows_where(docs: DataFrame, keep: Callable[[list[bytes | None]], np.ndarray], text_col: str = "text", most: int = 1 << 19) -> DataFrame:
     """The rows of docs, with all their columns, whose texts `keep` marks."""
-    at = docs.columns.index(text_col)
+    at = place_of(docs, text_col)
+    name = docs.columns[at]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices([batch], text_col, most):
+            for part in slices([batch], name, most):
                 yield part.filter(pa.array(keep(part.column(at).cast(pa.binary()).to_pylist()), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -20,6 +20,7 @@ no rows (documents) or no hits (benchmark); extra columns are ignored or, in dec
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.batches import slices, texts
+from tidewell.llm.batches import place_of, slices, texts, unused
 from tidewell.llm.textwords import ALNUM, Words, words
 from tidewell.session import materialise, ready
 
@@ -253,6 +254,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     )
 
 
+_WORD = re.compile(r"[0-9A-Za-z]|[^\x00-\x7F]")  # what a word has
+
+
 def _cut_out(text: bytes, spans: list[tuple[int, int]], starts: np.ndarray, ends: np.ndarray) -> bytes:
     """The text without spans of its words, which begin and end at these bytes."""
     parts, at = [], 0
@@ -285,15 +289,12 @@ def _replaced(part: pa.RecordBatch, text_at: int, length_at: int, new: dict[int,
     if length_at >= 0:
         columns[length_at] = pa.array([len(cut[k]) if k in cut else n for k, n in enumerate(columns[length_at].to_pylist())], columns[length_at].type)
     left = pa.RecordBatch.from_arrays(columns, schema=part.schema)
-    return left.filter(pa.array([k not in cut or any(c.isalnum() for c in cut[k]) for k in range(part.num_rows)]))
-
-
-SPANS, CUT = "__spans", "__cut"  # word positions a, b, a, b, ... of disjoint spans; whether the row was cut
+    return left.filter(pa.array([k not in cut or _WORD.search(cut[k]) is not None for k in range(part.num_rows)]))
 
 
-def _spanned(docs: DataFrame, held, text_col: str) -> DataFrame:
-    """One block: docs with its spans added to those so far."""
-    text_at, spans_at = docs.columns.index(text_col), docs.columns.index(SPANS)
+def _spanned(docs: DataFrame, held, text_col: str, spans_col: str) -> DataFrame:
+    """One block: docs with its spans (word positions a, b, a, b, ... of disjoint ones) added to those so far."""
+    text_at, spans_at = docs.columns.index(text_col), docs.columns.index(spans_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -310,10 +311,10 @@ def _spanned(docs: DataFrame, held, text_col: str) -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
-def _passages_cut(docs: DataFrame, text_col: str, length_at: int) -> DataFrame:
-    """docs with their spans cut out of the text, and CUT in place of SPANS."""
+def _passages_cut(docs: DataFrame, text_col: str, length_at: int, spans_col: str, cut_col: str) -> DataFrame:
+    """docs with their spans cut out of the text, and whether a row was cut in place of its spans."""
     names = docs.columns
-    text_at, spans_at = names.index(text_col), names.index(SPANS)
+    text_at, spans_at = names.index(text_col), names.index(spans_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,18 +325,18 @@ def _passages_cut(docs: DataFrame, text_col: str, length_at: int) -> DataFrame:
                     if row:
                         own = slice(found.first[k], found.first[k + 1])
                         new[k] = _cut_out(raw[k], list(zip(row[::2], row[1::2], strict=True)), found.starts[own] - found.base[k], found.ends[own] - found.base[k])
-                yield _replaced(part.set_column(spans_at, CUT, pa.array([bool(x) for x in spans])), text_at, length_at, new)
+                yield _replaced(part.set_column(spans_at, cut_col, pa.array([bool(x) for x in spans])), text_at, length_at, new)
 
-    return docs.mapInArrow(run, docs.drop(SPANS).withColumn(CUT, F.lit(True)).schema)
+    return docs.mapInArrow(run, docs.drop(spans_col).withColumn(cut_col, F.lit(True)).schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", length_col: str | None = "n_chars") -> DataFrame:
     """docs with every hit span cut out of the text, and length_col (if docs have it) made to fit; rows left without a word go."""
     spark = ready(docs.sparkSession)
-    schema, names = docs.schema, docs.columns
-    text_at = names.index(text_col)
-    length_at = names.index(length_col) if length_col in names else -1
-    blocks = [spark.sparkContext.broadcast(p) for p in benchmark_blocks(benchmark, item_col, text_col)]
+    schema = docs.schema
+    text_at, length_at = place_of(docs, text_col), place_of(docs, length_col) if length_col else -1
+    item_text, text_col, spans_col, cut_col = text_col, docs.columns[text_at], unused(docs, "__spans"), unused(docs, "__cut")
+    blocks = [spark.sparkContext.broadcast(p) for p in benchmark_blocks(benchmark, item_col, item_text)]
     if len(blocks) == 1:  # all rounds within the task
         held = blocks[0]
 
@@ -349,12 +350,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         return docs.mapInArrow(run, schema)
     done, left = None, docs
     while True:
-        left = left.withColumn(SPANS, F.lit(None).cast("array<long>"))
+        left = left.withColumn(spans_col, F.lit(None).cast("array<long>"))
         for held in blocks:
-            left = _spanned(left, held, text_col)
-        cut = materialise(_passages_cut(left, text_col, length_at), "passages")
-        whole = cut.where(f"NOT {CUT}").drop(CUT)
+            left = _spanned(left, held, text_col, spans_col)
+        cut = materialise(_passages_cut(left, text_col, length_at, spans_col, cut_col), "passages")
+        whole = cut.where(f"NOT {cut_col}").drop(cut_col)
         done = whole if done is None else done.unionByName(whole)
-        left = cut.where(CUT).drop(CUT)
+        left = cut.where(cut_col).drop(cut_col)
         if left.isEmpty():
             return done

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm import parity
-from tidewell.llm.batches import id_and_text, slices, texts
+from tidewell.llm.batches import id_and_text, slices, texts, unused
 from tidewell.llm.components import components
 from tidewell.llm.textwords import NOT_SPACE, U, shingle_sets, words
 from tidewell.session import materialise, ready
@@ -403,7 +403,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each component, that with the smallest id. Rows equal in id and text are one document."""
     found = near_components(docs, id_col, text_col)
-    keep = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__keep")).distinct()
-    kept = docs.join(keep, F.col(f"`{id_col}`").eqNullSafe(F.col("__keep")), "left_semi")
+    keep_col, nth = unused(docs, "__keep"), unused(docs, "__nth")
+    keep = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(keep_col)).distinct()
+    kept = docs.join(keep, F.col(f"`{id_col}`").eqNullSafe(F.col(keep_col)), "left_semi")
     same = Window.partitionBy(f"`{id_col}`", F.xxhash64(F.col(f"`{text_col}`"))).orderBy(f"`{id_col}`")
-    return kept.withColumn("__nth", F.row_number().over(same)).where("__nth = 1").drop("__nth")
+    return kept.withColumn(nth, F.row_number().over(same)).where(F.col(nth) == 1).drop(nth)
