@@ -216,3 +216,16 @@ def test_plant_export_with_line_breaks_in_cells(spark, tmp_path):
     (tmp_path / "p.csv").write_text("\n".join(lines))
     got = {r.scientific_name: r.tips for r in tables.plant_export(spark, str(tmp_path / "p.csv")).collect()}
     assert got == {"Salvia alba": 'line one\nline two, "so"', "Acer rubrum": None}
+
+
+def test_generated_names_leave_users_columns_alone(spark):
+    df = spark.createDataFrame([(3, "a", 1), (1, "b", 2), (2, "c", 3)], "id long, __part string, __rank int")
+    assert sorted(map(tuple, rel.numbered(df, ["id"]).collect())) == [(1, "b", 2, 0), (2, "c", 3, 1), (3, "a", 1, 2)]
+    assert [tuple(r) for r in rel.top_per_group(df, [], [F.col("id")], 1).collect()] == [(1, "b", 2)]
+
+
+def test_picked_photos(spark):
+    rows = [(1, 10, 5, [(None,), (" ",)]), (1, 11, 4, [("",), ("https://static.inaturalist.org/2/square.jpg",)]), (1, 12, 4, [("https://x/y.jpg",)]), (2, 13, None, [("https://x/square.png",)]), (3, 14, 9, []), (3, 15, 9, None)]
+    df = spark.createDataFrame(rows, "taxon_id long, observation_id long, votes int, photos array<struct<url: string>>")
+    got = sorted(map(tuple, manifest.picked_photos(df).collect()), key=repr)
+    assert got == [(1, 11, 4, "https://static.inaturalist.org/2/large.jpg"), (2, 13, None, "https://x/square.png")]

@@ -101,3 +101,14 @@ def ancestor_ranks(taxa_: DataFrame, details: DataFrame, ranks: tuple[str, ...]
     each = taxa_.select("taxon_id", F.posexplode("ancestor_ids").alias("pos", "ancestor"))
     named = each.join(details.select(F.col("id").alias("ancestor"), "rank", "name"), "ancestor")
     return named.groupBy("taxon_id").pivot("rank", list(ranks)).agg(F.min_by("name", "pos"))
+
+
+def picked_photos(observations: DataFrame, taxon: str = "taxon_id", votes: str = "votes", photos: str = "photos", tie: str = "observation_id", url: str = "url", size: str = "large") -> DataFrame:
+    """One photo a taxon: of its observations by falling votes the first with a photo that has an address, in `size`; ties by `tie`, then by the photo's place.
+
+    Columns: the taxon, the tie column, votes and image_url. Null votes come last, addresses of unknown hosts stay as they are.
+    """
+    each = observations.select(taxon, tie, votes, F.posexplode(photos).alias("at", "photo"))
+    filled = each.withColumn("address", first_filled(F.col("photo")[url])).where("address IS NOT NULL")
+    best = rel.top_per_group(filled, [taxon], [F.col(votes).desc_nulls_last(), F.col(tie), F.col("at")])
+    return best.select(taxon, tie, votes, F.coalesce(photo_url(F.col("address"), size), F.col("address")).alias("image_url"))

@@ -13,9 +13,17 @@ from pyspark.sql import functions as F
 from tidewell.session import materialise
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with signs added while df has a column of it."""
+    had = {c.lower() for c in df.columns}
+    while name.lower() in had:
+        name += "_"
+    return name
+
+
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, rank: str | None = None) -> DataFrame:
     """The first n rows of each group. Spark cuts groups to n rows before the shuffle where n is small."""
-    place = rank or "__rank"
+    place = rank or unused(df, "__rank")
     out = df.withColumn(place, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(place) <= n)
     return out if rank else out.drop(place)
 
@@ -112,10 +120,11 @@ def stratified(df: DataFrame, stratum: str, key: str, n: int, seed: int | str =
 
 def numbered(df: DataFrame, order: Sequence[str], name: str = "idx", pieces: int | None = None) -> DataFrame:
     """Row numbers from 0 over the whole table in order: within ranges, then by the ranges' counts. Rows aren't sent to one task."""
+    part, nth, n, of, start = (unused(df, c) for c in ("__part", "__nth", "__n", "__of", "__start"))
     # Written once: the branches below would each draw ranges of their own.
-    ranged = materialise((df.repartitionByRange(pieces, *order) if pieces else df.repartitionByRange(*order)).withColumn("__part", F.spark_partition_id()), "ranges")
-    within = ranged.withColumn("__nth", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
-    sizes = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
-    starts = sizes.select(F.col("__part").alias("__of"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    return within.join(F.broadcast(starts), F.col("__part") == F.col("__of")).withColumn(name, F.col("__nth") + F.col("__start") - 1).drop("__part", "__nth", "__of", "__start")
+    ranged = materialise((df.repartitionByRange(pieces, *order) if pieces else df.repartitionByRange(*order)).withColumn(part, F.spark_partition_id()), "ranges")
+    within = ranged.withColumn(nth, F.row_number().over(Window.partitionBy(part).orderBy(*order)))
+    sizes = ranged.groupBy(part).agg(F.count("*").alias(n))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    starts = sizes.select(F.col(part).alias(of), F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start))
+    return within.join(F.broadcast(starts), F.col(part) == F.col(of)).withColumn(name, F.col(nth) + F.col(start) - 1).drop(part, nth, of, start)

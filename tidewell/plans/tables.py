@@ -259,6 +259,17 @@ def api_photos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.from_api(photos.groupBy("key").agg(F.collect_list("photo").alias("media"))).select("key", "image_url_large")
 
 
+@query("""
+WITH p AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity >= 10 THEN 'https://static.inaturalist.org/' || l_partkey || '/square.jpg' ELSE ' ' END AS url FROM lineitem),
+r AS (SELECT o_custkey, o_orderkey, CAST(o_totalprice / 1000 AS INTEGER) AS votes, l_linenumber, url FROM orders JOIN p ON l_orderkey = o_orderkey WHERE trim(url) <> '')
+SELECT o_custkey, o_orderkey, votes, replace(url, '/square', '/large') AS image_url FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY votes DESC, o_orderkey, l_linenumber, url) AS k FROM r) WHERE k = 1""")
+def picked_photos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    photo = F.struct("l_linenumber", F.expr("CASE WHEN l_quantity >= 10 THEN concat('https://static.inaturalist.org/', l_partkey, '/square.jpg') ELSE ' ' END").alias("url"))
+    photos = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(photo)).alias("photos"))
+    seen = table(spark, sf_dir, "orders").join(photos, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("votes", F.round(F.col("o_totalprice") / 1000).cast("int"))
+    return manifest.picked_photos(seen, "o_custkey", "votes", "photos", "o_orderkey")
+
+
 @query("SELECT CAST(i - 1 AS INTEGER) AS pos, min(embedding[i]) AS low, max(embedding[i]) AS high FROM embeddings, range(1, 65) r(i) GROUP BY i")
 def vector_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.channel_ranges(table(spark, sf_dir, "embeddings"), "embedding")
