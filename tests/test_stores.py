@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import sampling
 from tidewell.plans.streams import job_outcomes
-from tidewell.sources import archives, replaced
+from tidewell.sources import archives, replaced, tables, workbooks
 from tidewell.sources.projection import projection
 from tidewell.streaming import jobs
 
@@ -71,6 +71,30 @@ def test_lines_of_stretches_are_each_read_once():
         assert got == data
 
 
+SHEET = """<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData><row r="2"><c r="A2" t="s"><v>0</v></c></row>
+<row r="6"><c r="A6" t="s"><v>1</v></c><c r="C6" t="inlineStr"><is><t>Height (min)</t></is></c><c r="D6" t="s"><v>1</v></c><c r="AA6" t="s"><v>2</v></c></row>
+<row r="7"><c r="A7" t="s"><v>3</v></c><c r="C7"><v>20.0</v></c><c r="D7" t="b"><v>1</v></c><c r="AA7" t="str"><f>A1</f><v>No</v></c></row>
+<row r="9"><c r="C9"><v>1.5</v></c><c r="D9" t="e"><v>#N/A</v></c></row><row r="10"/></sheetData></worksheet>"""
+
+
+def test_workbooks_of_other_writers(spark, tmp_path):
+    main, rel = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    strings = ["note", "Botanical Name", "Is Cultivar"]
+    parts = {
+        "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets><sheet name="Plants" r:id="rId7"/></sheets></workbook>',
+        "xl/_rels/workbook.xml.rels": '<Relationships xmlns="p"><Relationship Id="rId7" Target="/xl/worksheets/s.xml"/></Relationships>',
+        "xl/sharedStrings.xml": f'<sst xmlns="{main}">' + "".join(f"<si><t>{x}</t></si>" for x in strings) + "<si><r><t>Salvia </t></r><r><t>apiana</t></r><rPh><t>no</t></rPh></si></sst>",
+        "xl/worksheets/s.xml": SHEET,
+    }
+    path = packed(tmp_path / "p.xlsx", parts, zipfile.ZIP_DEFLATED)
+    df = workbooks.workbook(spark, path, "Plants", 5)
+    assert df.columns[:4] == ["Botanical Name", "column_1", "Height (min)", "Botanical Name.1"] and df.columns[26] == "Is Cultivar" and len(df.columns) == 27
+    got = [(r[0], r[2], r[3], r[26]) for r in df.collect()]
+    assert got == [("Salvia apiana", "20", "true", "No"), (None, "1.5", None, None)]
+    plant = tables.plant_export(spark, path).collect()
+    assert [(p.scientific_name, p.height_min, p.is_cultivar) for p in plant] == [("Salvia apiana", 20.0, False)]
+
+
 def order(key, seed):
     return int(hashlib.md5(f"{seed}:{'' if key is None else key}".encode()).hexdigest()[:15], 16)
 

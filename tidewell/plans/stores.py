@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewell.operators import sampling
 from tidewell.plans.registry import query, table
 from tidewell.session import fresh_path, materialise
-from tidewell.sources import archives, replaced, sinks
+from tidewell.sources import archives, replaced, sinks, workbooks
 from tidewell.sources.places import written
 from tidewell.sources.projection import projection
 
@@ -25,6 +25,14 @@ def archive_member(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.zip_table(spark, paths, "occurrence.txt", "c_custkey bigint, c_name string, c_acctbal double", split_bytes=1 << 20)
 
 
+@query("SELECT s_name, CAST(s_suppkey AS VARCHAR) AS s_suppkey, CASE WHEN s_acctbal > 0 THEN s_phone END AS s_phone FROM (SELECT *, s_name || ' <&> é' AS s_phone FROM supplier)")
+def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbooks with notes before the headings, read back as text."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", F.when(F.col("s_acctbal") > 0, F.concat("s_name", F.lit(" <&> é"))).alias("s_phone"))
+    made = materialise(sinks.workbooks(s.repartition(3, "s_suppkey"), fresh_path(spark, "workbooks"), 5), "made")
+    return workbooks.workbook(spark, [r.path for r in made.select("path").collect()], header=5).select("s_name", "s_suppkey", "s_phone")  # a workbook a partition
+
+
 PLACE = "CAST(('0x' || left(md5('{seed}:' || {key}), 15)) AS BIGINT)"
 
 

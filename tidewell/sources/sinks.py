@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import itertools
+import re
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from xml.sax.saxutils import escape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,9 @@ from tidewell.session import ready
 from tidewell.sources.places import place, written
 
 
+UNFIT = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]")  # what XML can't hold
+
+
 def bounded_shards(df: DataFrame, folder: str, run: str, rows: int = 10_000) -> None:
     """Parquet files of at most `rows` rows, under run=<run>, so that readers prune by run."""
     df.withColumn("run", F.lit(run)).write.option("maxRecordsPerFile", rows).mode("append").partitionBy("run").parquet(folder)
@@ -79,6 +84,53 @@ def archives(df: DataFrame, folder: str, member: str, stored: bool = False) -> D
     return df.select(*text).mapInArrow(run, "path string, n_rows long")
 
 
+# The parts of a workbook of one sheet.
+_XML = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+_TYPES = f'{_XML}<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/></Types>'
+_RELATIONS = '{xml}<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/{kind}" Target="{target}"/></Relationships>'
+_BOOK = f'{_XML}<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>'
+_MOST_ROWS = 1_048_576
+
+
+def workbooks(df: DataFrame, folder: str, before: int = 0) -> DataFrame:
+    """(path, n_rows): an Excel workbook for each partition that has rows, with headings after `before` rows of notes; cells as text, null as none.
+    A sheet has a limit of 1,048,576 rows, beyond which the task fails: repartition first."""
+    ready(df.sparkSession)
+    names = df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = (b for b in batches if b.num_rows)
+        first, n = next(batches, None), 0
+        if first is None:
+            return
+        store, root = place(folder.rstrip("/"))
+        store.create_dir(root, recursive=True)
+        name = f"{uuid.uuid4().hex}.xlsx"
+
+        def row(cells: Sequence[str | None]) -> str:
+            own = "".join('<c/>' if x is None else f'<c t="inlineStr"><is><t xml:space="preserve">{escape(UNFIT.sub("", x))}</t></is></c>' for x in cells)
+            return f"<row>{own}</row>"
+
+        with store.open_output_stream(f"{root}/{name}.tmp") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("[Content_Types].xml", _TYPES)
+            z.writestr("_rels/.rels", _RELATIONS.format(xml=_XML, kind="officeDocument", target="xl/workbook.xml"))
+            z.writestr("xl/workbook.xml", _BOOK)
+            z.writestr("xl/_rels/workbook.xml.rels", _RELATIONS.format(xml=_XML, kind="worksheet", target="worksheets/sheet1.xml"))
+            with z.open("xl/worksheets/sheet1.xml", "w", force_zip64=True) as f:
+                f.write(f'{_XML}<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>'.encode())
+                f.write("".join([row(["notes"])] * before + [row(names)]).encode())
+                for batch in itertools.chain([first], batches):
+                    n += batch.num_rows
+                    if before + 1 + n > _MOST_ROWS:
+                        raise ValueError(f"a sheet can't hold more than {_MOST_ROWS} rows")
+                    f.write("".join(map(row, zip(*(c.to_pylist() for c in batch.columns), strict=True))).encode())
+                f.write(b"</sheetData></worksheet>")
+        store.move(f"{root}/{name}.tmp", f"{root}/{name}")
+        yield pa.RecordBatch.from_arrays([pa.array([f"{folder.rstrip('/')}/{name}"]), pa.array([n], pa.int64())], ["path", "n_rows"])
+
+    return df.select(*(F.col(f"`{c}`").cast("string").alias(c) for c in names)).mapInArrow(run, "path string, n_rows long")
+
+
 def replace_role(df: DataFrame, folder: str, role: str = "dataset_role") -> None:
     """Overwrites only the roles that df has."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(role).parquet(folder)
