@@ -229,3 +229,9 @@ def test_picked_photos(spark):
     df = spark.createDataFrame(rows, "taxon_id long, observation_id long, votes int, photos array<struct<url: string>>")
     got = sorted(map(tuple, manifest.picked_photos(df).collect()), key=repr)
     assert got == [(1, 11, 4, "https://static.inaturalist.org/2/large.jpg"), (2, 13, None, "https://x/square.png")]
+
+
+def test_open_work(spark):
+    df = spark.createDataFrame([(1, "x"), (2, None), (3, "  ")], "id long, name string")
+    assert sorted(r.id for r in rel.open_work(df, "name").collect()) == [2, 3] and rel.open_work(df, "name", False).count() == 3
+    assert rel.open_work(df, "id").count() == 0

@@ -86,6 +86,14 @@ def anti(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(other.select(*keys), list(keys), "left_anti")
 
 
+def open_work(df: DataFrame, found: str, only_unmatched: bool = True) -> DataFrame:
+    """Rows that have no value in `found` yet, as work that's left; all rows if everything is to be done again. Blank text isn't a value."""
+    if not only_unmatched:
+        return df
+    value = F.col(found)
+    return df.where(F.nullif(F.trim(value), F.lit("")).isNull() if df.schema[found].dataType.typeName() == "string" else value.isNull())
+
+
 def conditional_semi(df: DataFrame, condition: Column, key: str, allowed: DataFrame, allowed_key: str) -> DataFrame:
     """Rows where the condition doesn't hold (or is null), and those where it does and the key is allowed."""
     mark = allowed.select(F.col(allowed_key).alias("__allowed")).where("__allowed IS NOT NULL").distinct().withColumn("__in", F.lit(True))

@@ -125,3 +125,22 @@ def provenance_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         sinks.provenance(spark, folder, "filter", stage=name, n=table(spark, sf_dir, name).count())
     log = tables.event_log(spark, folder)
     return log.select("type", "stage", "n", F.col("ts").rlike(r"^\d{4}-\d\d-\d\dT").alias("timed"))
+
+
+@query("SELECT event_id, CASE WHEN event_type <> 'error' THEN event_type END AS type, CASE WHEN event_type = 'error' THEN '{''type'': ''' || event_id || '''}}' END AS foreign_line FROM events")
+def foreign_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log in which some lines aren't JSON: they are kept as they stand, and nothing is read from them."""
+    e = table(spark, sf_dir, "events")
+    line = F.when(F.col("event_type") == "error", F.concat(F.lit("{'type': '"), "event_id", F.lit("'}}"))).otherwise(F.to_json(F.struct(F.col("event_type").alias("type"), F.col("event_id").alias("n"))))
+    folder = fresh_path(spark, "log")
+    e.select(line.alias("value")).write.text(folder)
+    log = tables.event_log(spark, folder, strict=True)
+    return log.select(F.coalesce("n", F.regexp_extract("_corrupt_record", r"'(\d+)'", 1).cast("long")).alias("event_id"), "type", F.col("_corrupt_record").alias("foreign_line"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+def open_work(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that no match was found for so far."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    found = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_partkey").alias("taxon_id"))
+    return rel.open_work(orders.join(found, "o_orderkey", "left"), "taxon_id").select("o_orderkey")
