@@ -217,3 +217,24 @@ def test_html_names_only_weigh():
     widgets = "".join(f"<div class=widget>{x}</div>" for x in want)
     assert main_text(f"<body>{widgets}<div class=comments><p>I agree, very much.</p></div></body>").split("\n\n") == want
     assert main_text(f"<body><article>{story}</article><div>Tags</div><footer>{'Copyright, all of it. ' * 99}</footer></body>").split("\n\n") == want
+
+
+STORY = "<p>The council met on Monday, and voted for the new bridge.</p>"
+LONG = "<p>I think that this is a rather long one, which goes on and on; and on, I fear.</p>" * 12
+TOLD = "The council met on Monday, and voted for the new bridge."
+
+
+@pytest.mark.parametrize("name", ["comments", "sidebar", "footer", "ad", "related"])
+def test_long_parts_beside_a_short_article_stay_out(name):
+    assert main_text(f"<body><div class=story>{STORY}</div><div class={name}>{LONG}</div></body>") == TOLD
+    assert main_text(f"<body><div class={name}>{LONG}</div><article><h1>A bridge</h1>{STORY}</article></body>") == f"A bridge\n\n{TOLD}"
+
+
+def test_an_article_under_a_barred_name_stays_where_nothing_else_is_one():
+    menu = "<ul><li><a href=x>One</a><li><a href=y>Two</a></ul>"
+    assert main_text(f"<body><div class=overlay>{STORY}{STORY}</div>{menu}</body>") == f"{TOLD}\n\n{TOLD}"
+
+
+def test_pictures_and_their_captions():
+    assert main_text(f"<body><svg/><div>{STORY}</div></body>") == main_text(f"<body><svg class=x><path d=y /></svg><div>{STORY}</div></body>") == TOLD
+    assert main_text(f"<article>{STORY}<figure><img src=x><figcaption>The bridge, seen from the east.</figcaption></figure></article>") == f"{TOLD}\n\nThe bridge, seen from the east."

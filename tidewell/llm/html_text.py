@@ -6,8 +6,9 @@ smoothed over the page's order with a 1-2-1 kernel, averaged back to the path, a
 the best one go. All blocks of a path that stays are kept, short ones too.
 
 Names only weigh. Elements that name themselves as something else than the article (adverts, comments,
-forms, ...) go, unless those of one path and name carry most of the page's text outside links; a class
-counts whole (`sidebar`, not `has-sidebar`). Elements of FIRM, which HTML has for nothing else, always go. Where <article> or <main> carry most of what is left,
+forms, ...) go while any other path scores next to the best of them, be they ever so long; where none does,
+those stay whose path and name carry most of the page's text outside links. A class counts whole (`sidebar`,
+not `has-sidebar`). Elements of FIRM, which HTML has for nothing else, always go. Where <article> or <main> carry most of what is left,
 the scores of paths outside both, but for <h1>, count a quarter; where they don't, they have no say.
 
 Defined results: null, empty and textless pages give empty text and 0 characters; unclosed and stray tags
@@ -30,13 +31,14 @@ from tidewell.llm.batches import decoded, slices, texts
 from tidewell.session import ready
 
 SHARE = 0.1  # of the best path's score
-MOST = 0.5  # of the free text: beyond it names have no veto, and <article> and <main> a say
+MOST = 0.5  # of the free text: beyond it names may lose their veto, and <article> and <main> have a say
+RIVAL = 0.3  # of the best score under barred names: names keep their veto while another path has as much
 OUTSIDE = 0.25  # weight of paths outside <article> and <main> where these have a say
 
 # Elements by their meaning in HTML, and words by which elements name their part of a page.
 RAW = "script|style|template|noscript|textarea|iframe|svg|object|canvas|select|title"
-BARRED_TAGS = frozenset("head nav header footer aside form button dialog menu label fieldset figcaption".split())
-FIRM = frozenset("head nav footer button menu label figcaption".split())
+BARRED_TAGS = frozenset("head nav header footer aside form button dialog menu label fieldset".split())
+FIRM = frozenset("head nav footer button menu label".split())
 BARRED_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 BARRED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert"
@@ -50,7 +52,7 @@ CLOSES = {k: frozenset(v.split()) for k, v in CLOSES.items()}
 SCOPES = frozenset("ul ol dl table article section div main body blockquote".split())
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<svg\b[^>]*/>|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"<]*\"|'[^'<]*'|[^'\"<>])*+)>"
     r"|</?[a-zA-Z][^>]*>|<[!?/][^>]*>",
     re.DOTALL | re.IGNORECASE,
@@ -165,7 +167,14 @@ def path_scores(found: list[tuple[Path, str, int]]) -> dict[Path, float]:
 
 
 def _not_vetoed(found: list[tuple[Path, str, int]]) -> list[tuple[Path, str, int]]:
-    """The blocks in no barred element, but for those not in FIRM whose path and name carry most of the free text."""
+    """The blocks in no barred element. Where the best of their paths scores next to nothing beside the best of the barred
+    ones, blocks stay too whose path and name, if not in FIRM, carry most of the free text."""
+    outside = [b for b in found if not any(name for _, name in b[0])]
+    scores = path_scores(found)
+    best = lambda some: max((scores[b[0]] for b in some), default=0.0)
+    barred = [b for b in found if any(name for _, name in b[0]) and not any(tag in FIRM for tag, _ in b[0])]
+    if best(outside) >= RIVAL * best(barred):
+        return outside
     total, carried = 0, {}
     for block in found:
         free = _free(block)
