@@ -150,6 +150,27 @@ def test_ids_by_units():
         assert np.frombuffer(ours.encode(text), ours.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_many_texts():
+    ours, library = chunk_store.Encoder(BPE), Tokenizer.from_file(BPE)
+    rng, plain = random.Random(2), list(" ab.,1éßÿÀ!$#*") + [" w", " th", "ing", "\nT", "Ãé", "ations", " 9", ";("]
+    texts = ["".join(rng.choices(plain, k=rng.randint(1, 20))) for _ in range(3000)]
+    ids = lambda got: [np.frombuffer(x, ours.dtype).tolist() for x in got]
+    want = lambda texts: [library.encode(x, add_special_tokens=False).ids for x in texts]
+    spaced = [x for x in texts if chunk_store.single_spaced(x) and len(x.encode()) <= 40]
+    assert len(spaced) > 500 and ids(ours.many(spaced)) == want(spaced)
+    assert not ours.of_key  # no word was encoded by itself
+    odd = [" \n\n  ab.,'s", "<|endoftext|>", "中", "don't", "\x01 a", "\t", "\x00", "÷×é", "x" * 99, "é" * 24, "é" * 25, "\nA", "a\n", ""]
+    mixed = texts + odd + [rng.choice(texts) + rng.choice(odd) + rng.choice(texts) for _ in range(2000)]
+    assert ids(ours.many(mixed)) == want(mixed) and ours.many([]) == []
+
+
+def test_crc_of_parts():
+    rng = np.random.default_rng(1)
+    for after in (0, 1, 4, 1000, 70001):
+        a, b = rng.bytes(50), rng.bytes(after)
+        assert int(chunk_store.crc_shifted(np.array([zlib.crc32(a)]), np.array([after]))[0]) ^ zlib.crc32(b) == zlib.crc32(a + b)
+
+
 def test_chunk_store_finds_lost_chunks(spark):
     from pyspark.sql import functions as F
 

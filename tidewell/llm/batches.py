@@ -34,6 +34,19 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int =
             yield batch.slice(a, b - a)
 
 
+def grouped(batches: Iterable[pa.RecordBatch], most: int, column: str = "text") -> Iterator[list[pa.RecordBatch]]:
+    """Batches that follow one another, until their column passes `most` bytes."""
+    group, held = [], 0
+    for batch in batches:
+        group.append(batch)
+        held += pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
+        if held > most:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
     return batch.column(column).to_pylist()
 

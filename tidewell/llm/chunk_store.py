@@ -29,20 +29,24 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidewell.llm.batches import decoded, id_and_text, slices, texts
+from tidewell.llm.batches import decoded, grouped, id_and_text, slices, texts
+from tidewell.llm.many_words import Merges, fit
+from tidewell.llm.many_words import encode as encode_words
 from tidewell.llm.textwords import mix
 from tidewell.llm.token_counts import byte_letters
-from tidewell.llm.units import FIRST, LATIN, PIECES, WORD, Memo, keys, unit_of
+from tidewell.llm.units import FIRST, LATIN, PIECES, WORD, Memo, blank_keys, keys, single_spaced, unit_of
 from tidewell.session import fresh_path, materialise, ready
 
 END = 2
 WINDOW, LEAST, MEAN_BITS, MOST = 8, 64, 9, 4096
 COPIES_BYTES = 16 << 20  # of ids that a task keeps for exact copies of texts
+TOGETHER_BYTES = 16 << 20  # of texts whose distinct words are encoded together
 POLYNOMIAL = 0xEDB88320  # of crc32, lowest power first
 SENT = 200_000  # digests whose ids a task knows to have sent
 CUT = regex.compile(PIECES)
@@ -51,10 +55,13 @@ BLANK = LETTER_OF[32]
 
 
 class Encoder:
-    """Ids as bytes. A word with what stands around it, and each piece of these, is encoded once while it's remembered."""
+    """Ids as bytes. `many` takes texts together and encodes their distinct words by columns; what isn't fit for that
+    is encoded by units, each of which, and each piece of them, is encoded once while it's remembered."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            self.merges = Merges(f.read(), {b: x for x, b in byte_letters().items()})
         self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
@@ -91,6 +98,30 @@ class Encoder:
             return self._plain(text)
         return b"".join([self.special.get(x) or self._plain(x) for x in self.parts.split(text) if x])
 
+    def many(self, texts: list[str]) -> list[bytes]:
+        """encode() of each text."""
+        simple = [bool(x) and self.merges.plain and single_spaced(x) and not any(s in x for s in self.special) for x in texts]
+        together = iter(self._together([blank_keys(x) for x, ok in zip(texts, simple, strict=True) if ok]))
+        return [next(together) if ok else self.encode(x) for x, ok in zip(texts, simple, strict=True)]
+
+    def _together(self, lines: list[str]) -> list[bytes]:
+        words = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
+        flat = words.flatten().dictionary_encode()
+        distinct = flat.dictionary
+        _, ends, raw = distinct.buffers()
+        offsets = np.frombuffer(ends or bytes(8), np.int64)[distinct.offset : distinct.offset + len(distinct) + 1]
+        data = np.frombuffer(raw or b"", np.uint8)
+        good = fit(data, offsets)
+        known, odd = np.flatnonzero(good), np.flatnonzero(~good)
+        values, place = encode_words(self.merges, data, offsets[known], np.diff(offsets)[known], self.dtype)
+        rest = pa.array([self.of_key[x] for x in distinct.take(pa.array(odd)).to_pylist()], pa.large_binary())
+        at = np.empty(len(distinct), np.int64)
+        at[known], at[odd] = place, len(known) + np.arange(len(odd))
+        ids = pa.concat_arrays([values, rest]).take(pa.array(at[flat.indices.to_numpy()]))
+        _, ends, raw = ids.buffers()
+        stream, to = memoryview(raw or b""), np.frombuffer(ends or bytes(8), np.int64)[words.offsets.to_numpy()].tolist()
+        return [bytes(stream[a:b]) for a, b in zip(to, to[1:], strict=False)]
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
@@ -142,12 +173,28 @@ def crc_times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=64)
+def crc_table(k: int) -> np.ndarray:
+    """4 x 256: what each byte of a crc32 gives when 2**k bytes follow."""
+    if not k:
+        power = np.array([1 << 23], np.uint64)  # x**8
+        bytes_ = np.arange(256, dtype=np.uint64) << np.array([[0], [8], [16], [24]], np.uint64)
+        return crc_times(bytes_.ravel(), np.broadcast_to(power, 1024)).reshape(4, 256).astype(np.uint32)
+    return crc_moved(crc_table(k - 1), k - 1)
+
+
+def crc_moved(crc: np.ndarray, k: int) -> np.ndarray:
+    table = crc_table(k)
+    return table[0][crc & 255] ^ table[1][crc >> 8 & 255] ^ table[2][crc >> 16 & 255] ^ table[3][crc >> 24]
+
+
 def crc_shifted(crc: np.ndarray, after: np.ndarray) -> np.ndarray:
     """What a part's crc32 adds, by exclusive or, to that of a whole with `after` more bytes."""
-    out, power, left = crc.astype(np.uint64), np.array([1 << 23], np.uint64), after.astype(np.int64)  # x**8
+    out, left, k = crc.astype(np.uint32), after.astype(np.int64), 0
     while left.any():
-        out = np.where(left & 1, crc_times(out, np.broadcast_to(power, out.shape)), out)
-        power, left = crc_times(power, power), left >> 1
+        odd = np.flatnonzero(left & 1)
+        out[odd] = crc_moved(out[odd], k)
+        left, k = left >> 1, k + 1
     return out
 
 
@@ -159,6 +206,29 @@ class Store:
     recipes: str
 
 
+def encoded(batches: Iterator[pa.RecordBatch], e: Encoder, last: bytes) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Small slices of the batches, with the ids of their texts, each of which ends with `last`."""
+    copies: dict[bytes, bytes] = {}
+    held = 0
+    for group in grouped(slices(batches, most=1 << 20), TOGETHER_BYTES):
+        if held > COPIES_BYTES:
+            copies, held = {}, 0
+        named, new = [], {}
+        for batch in group:
+            own = []
+            for x in texts(batch):
+                key = hashlib.blake2b(x or b"", digest_size=16).digest()
+                if key not in copies:
+                    new[key] = x
+                own.append(key)
+            named.append(own)
+        for key, ids in zip(new, e.many([decoded(x) for x in new.values()]), strict=True):
+            copies[key] = ids + last
+            held += len(ids)
+        for batch, own in zip(group, named, strict=True):
+            yield batch, [copies[key] for key in own]
+
+
 def chunked(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end: int = END) -> DataFrame:
     """A row for each chunk of each document; `ids` is null where the task has sent the chunk before."""
     ready(docs.sparkSession)
@@ -166,21 +236,10 @@ def chunked(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: s
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e, sent, copies, held = encoder(tokenizer), {}, {}, 0
+        e, sent = encoder(tokenizer), {}
         last = np.array([end], e.dtype).tobytes()
         width = e.dtype.itemsize
-        for batch in slices(batches, most=1 << 20):
-            streams = []
-            for x in texts(batch):
-                key = hashlib.blake2b(x or b"", digest_size=16).digest()
-                ids = copies.get(key)
-                if ids is None:
-                    ids = e.encode(decoded(x)) + last
-                    if held > COPIES_BYTES:
-                        copies, held = {}, 0
-                    copies[key] = ids
-                    held += len(ids)
-                streams.append(ids)
+        for batch, streams in encoded(batches, e, last):
             totals = np.array([len(x) // width for x in streams])
             starts = np.cumsum(totals) - totals
             data = b"".join(streams)

@@ -28,18 +28,28 @@ WORD = re.compile(f" ?[{LETTERS}]+")
 LATIN = re.compile("[ \n!-~¡-¬®-ÿ]*")
 
 
+def single_spaced(text: str) -> bool:
+    """Whether white space never stands in runs or last, and is blanks and line feeds only."""
+    return not (text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text or FIRST in text or RARE_SPACE.search(text))
+
+
+def blank_keys(text: str) -> str:
+    """The keys of a single-spaced text, with blanks between them."""
+    return (FIRST + text if text[0] != " " else text[1:]).replace("\n", " \x01\n")
+
+
 def keys(text: str) -> list[str]:
     """The text's units as keys of a memo: cut at each blank, which they go without, and before each line feed.
 
-    Only where white space never stands in runs or last is that so simple; else units() cuts.
+    Only in single-spaced texts is that so simple; else units() cuts.
     """
     if not text:
         return []
+    if single_spaced(text):
+        return blank_keys(text).split(" ")
     if FIRST in text or RARE_SPACE.search(text):
         return [FIRST + text]
-    if text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
-        return [u[1:] if u[0] == " " and u[1:2] not in ("", " ", "\n") else FIRST + u for u in UNIT.findall(text)]
-    return (FIRST + text if text[0] != " " else text[1:]).replace("\n", " \x01\n").split(" ")
+    return [u[1:] if u[0] == " " and u[1:2] not in ("", " ", "\n") else FIRST + u for u in UNIT.findall(text)]
 
 
 def unit_of(key: str) -> str:
