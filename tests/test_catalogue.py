@@ -44,6 +44,24 @@ def test_same_rows(name, spark, duck, sf_dir):
     assert ours.equals(theirs), ours[(ours != theirs).any(axis=1)].head()
 
 
+def same_on(spark, name, path, tables):
+    """Compares a query with its SQL on small tables of one's own."""
+    con = duckdb.connect()
+    for t, df in tables.items():
+        df.write.parquet(f"{path}/{t}.parquet")
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{path}/{t}.parquet/*.parquet'")
+    ours, theirs = canonical(QUERIES[name](spark, str(path)).toPandas()), canonical(con.sql(ORACLE[name]).df())
+    assert len(theirs) and ours.equals(theirs), (ours, theirs)
+
+
+def test_picked_photos_of_half_votes_and_unplaced_lines(spark, tmp_path):
+    # 2500 gives 2 votes and 3500 gives 4; 2 and 2.499 are tied; of order 5 the line without a number comes last.
+    orders = [(1, 1, 2500.0), (2, 1, 1900.0), (3, 2, 3500.0), (4, 2, 4400.0), (5, 3, -500.0), (6, None, 1500.0), (7, 4, None), (8, 5, 2499.0), (9, 5, 2500.0)]
+    lines = [(k, k * 10 + i, 1, i, 10.0 + i) for k in range(1, 10) for i in (1, 2)] + [(5, 50, 1, None, 20.0), (5, 49, 1, 1, None), (5, None, 1, 0, 20.0)]
+    tables = {"orders": spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double"), "lineitem": spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double")}
+    same_on(spark, "picked_photos", tmp_path, tables)
+
+
 def test_components_are_orthonormal(spark, sf_dir):
     from tidewell.operators.vectors import principal_components
     from tidewell.plans.tables import checked_components

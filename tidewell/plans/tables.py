@@ -264,9 +264,9 @@ WITH p AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity >= 10 THEN 'htt
 r AS (SELECT o_custkey, o_orderkey, CAST(o_totalprice / 1000 AS INTEGER) AS votes, l_linenumber, url FROM orders JOIN p ON l_orderkey = o_orderkey WHERE trim(url) <> '')
 SELECT o_custkey, o_orderkey, votes, replace(url, '/square', '/large') AS image_url FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY votes DESC, o_orderkey, l_linenumber, url) AS k FROM r) WHERE k = 1""")
 def picked_photos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    photo = F.struct("l_linenumber", F.expr("CASE WHEN l_quantity >= 10 THEN concat('https://static.inaturalist.org/', l_partkey, '/square.jpg') ELSE ' ' END").alias("url"))
+    photo = F.struct(F.col("l_linenumber").isNull().alias("unplaced"), "l_linenumber", F.expr("CASE WHEN l_quantity >= 10 THEN concat('https://static.inaturalist.org/', l_partkey, '/square.jpg') ELSE ' ' END").alias("url"))
     photos = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(photo)).alias("photos"))
-    seen = table(spark, sf_dir, "orders").join(photos, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("votes", F.round(F.col("o_totalprice") / 1000).cast("int"))
+    seen = table(spark, sf_dir, "orders").join(photos, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("votes", F.rint(F.col("o_totalprice") / 1000).cast("int"))  # halves go to the even number, as in SQL's cast
     return manifest.picked_photos(seen, "o_custkey", "votes", "photos", "o_orderkey")
 
 
