@@ -62,6 +62,49 @@ def test_picked_photos_of_half_votes_and_unplaced_lines(spark, tmp_path):
     same_on(spark, "picked_photos", tmp_path, tables)
 
 
+def test_best_match_of_odd_names_and_balances(spark, tmp_path):
+    # Names that meet those of customers and nations in other case, equal and missing balances, a customer above all.
+    spell = [None, "Nation_1", "NATION_0", "customer#3", "Customer#5", "x", "Éa", ""]
+    balance = [None, 0.0, 5000.0, 5000.01, 9000.0, -3.5]
+    customers = [(k, f"Customer#{k}" if k % 3 else spell[k % 8], k % 4 if k % 7 else None, balance[k % 6] if k % 5 else 9999.0) for k in range(60)]
+    suppliers = [(k, spell[k * 5 % 8], k % 3 if k % 9 else None, balance[k // 3 % 6]) for k in range(45)]
+    nations = [(k, f"NATION_{k}", 0) for k in range(4)]
+    tables = {
+        "customer": spark.createDataFrame(customers, "c_custkey long, c_name string, c_nationkey int, c_acctbal double"),
+        "supplier": spark.createDataFrame(suppliers, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+        "nation": spark.createDataFrame(nations, "n_nationkey int, n_name string, n_regionkey int"),
+    }
+    same_on(spark, "best_match", tmp_path, tables)
+
+
+def most_rows(df):
+    """The most rows that an operator of the plan gives, once the rows are collected."""
+    df.collect()
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        own = node.metrics().get("numOutputRows")
+        below = node.children()
+        return max([own.get().value() if own.isDefined() else 0, *(walk(below.apply(k)) for k in range(below.size()))])
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_best_match_forms_no_pairs(spark, tmp_path):
+    # One nation: 2,000 customers and 1,000 suppliers are 2,000,000 pairs.
+    spark.range(2000).selectExpr("id AS c_custkey", "concat('C', id) AS c_name", "0 AS c_nationkey", "CAST(id AS DOUBLE) AS c_acctbal").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(1000).selectExpr("id AS s_suppkey", "concat('S', id) AS s_name", "0 AS s_nationkey", "CAST(id * 2 AS DOUBLE) AS s_acctbal").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(1).selectExpr("0 AS n_nationkey", "'N' AS n_name", "0 AS n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    df = QUERIES["best_match"](spark, str(tmp_path))
+    assert 2000 <= most_rows(df) <= 20_000
+    got = {r.c_custkey: (r.va, r.ra) for r in df.collect()}
+    assert got == {k: (1, k // 2 + 1) if k < 1998 else (2, 0) for k in range(2000)}
+
+
 def test_components_are_orthonormal(spark, sf_dir):
     from tidewell.operators.vectors import principal_components
     from tidewell.plans.tables import checked_components

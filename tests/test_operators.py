@@ -224,6 +224,15 @@ def test_generated_names_leave_users_columns_alone(spark):
     assert [tuple(r) for r in rel.top_per_group(df, [], [F.col("id")], 1).collect()] == [(1, "b", 2)]
 
 
+def test_running_least_over_ranges(spark):
+    # One key fills many ranges, with the least value far before; another has no value at all.
+    rows = [("a", k, 1000 - k if k % 50 == 7 else None) for k in range(400)] + [("b", k, None) for k in range(5)] + [(None, k, k + 3) for k in range(5)]
+    df = spark.createDataFrame(rows, "k string, at int, v int").repartition(3)
+    got = {(r.k, r.at): r.least for r in rel.running_least(df, ["k"], [F.col("at")], "v").collect()}
+    least = lambda k, at: min((v for x, a, v in rows if x == k and a <= at and v is not None), default=None)
+    assert got == {(k, at): least(k, at) for k, at, _ in rows}
+
+
 def test_picked_photos(spark):
     rows = [(1, 10, 5, [(None,), (" ",)]), (1, 11, 4, [("",), ("https://static.inaturalist.org/2/square.jpg",)]), (1, 12, 4, [("https://x/y.jpg",)]), (2, 13, None, [("https://x/square.png",)]), (3, 14, 9, []), (3, 15, 9, None)]
     df = spark.createDataFrame(rows, "taxon_id long, observation_id long, votes int, photos array<struct<url: string>>")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.operators import relational as rel
+
 LEVELS = ("family", "order", "class")  # the first with a rule decides
 NO_RULE = "no rule matched; default exclude"
 
@@ -48,5 +50,23 @@ def best_match(results: DataFrame, key: str, full_name: Column, variant: Column,
     quality = F.element_at(F.array(F.lit("exact_full"), F.lit("exact_variant"), F.lit("first_result")), tier + 1)
     rated = results.withColumns({"__tier": tier, "match_quality": quality})
     rest = [c for c in rated.columns if c not in (key, "__tier")]
-    best = rated.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct(variant_at, "__tier", result_at)).alias("best"))
+    best = rated.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct(variant_at, "__tier", F.isnull(result_at), result_at)).alias("best"))
     return best.select(key, "best.*")
+
+
+def contenders(asked: DataFrame, offered: DataFrame, key: str, names: Sequence[Column], limit: Column, result: Column, value: Column, result_at: Column) -> DataFrame:
+    """Of all pairs with an equal key and value > limit those that best_match can pick: for each asked row the first result of all, and the first that equals each of its names.
+
+    Columns: those of asked, result and result_at. Pairs aren't formed: both sides are put in falling order of value and
+    limit, where an asked row takes the least result_at of the rows before it. Names are compared in lower case.
+    """
+    words = lambda *c: F.explode(F.array_distinct(F.array(*(F.lower(x) for x in c), F.lit(None).cast("string")))).alias("word")  # noqa: E731  # null: any name
+    row, offer = F.struct(*asked.columns), F.struct(F.isnull(result_at).alias("unplaced"), result_at.alias("result_at"), result.alias("result"))
+    left = asked.select(F.col(key).alias("key"), limit.alias("level"), row.alias("row"), *(c.alias(f"name_{k}") for k, c in enumerate(names))).where("key IS NOT NULL AND level IS NOT NULL")
+    left = left.select("key", "level", "row", F.lit(0).alias("kind"), words(*(F.col(f"name_{k}") for k in range(len(names)))))
+    right = offered.select(F.col(key).alias("key"), value.alias("level"), offer.alias("offer")).where("key IS NOT NULL AND level IS NOT NULL")
+    right = right.select("key", "level", "offer", F.lit(1).alias("kind"), words(F.col("offer.result")))
+    # Of equal levels asked rows come first, as only greater values count; the hash lets many equal ones fill several ranges.
+    order = [F.desc("level"), F.col("kind"), F.xxhash64("row")]
+    found = rel.running_least(left.unionByName(right, allowMissingColumns=True), ["key", "word"], order, "offer").where("row IS NOT NULL AND least IS NOT NULL")
+    return found.select("row.*", "least.result", "least.result_at")

@@ -136,3 +136,18 @@ def numbered(df: DataFrame, order: Sequence[str], name: str = "idx", pieces: int
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # a row a range
     starts = sizes.select(F.col(part).alias(of), F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start))
     return within.join(F.broadcast(starts), F.col(part) == F.col(of)).withColumn(name, F.col(nth) + F.col(start) - 1).drop(part, nth, of, start)
+
+
+def running_least(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, name: str = "least") -> DataFrame:
+    """Adds the least `value` among the rows of equal keys up to each one in order: within ranges, then by what earlier ranges of the key had. A key isn't sent to one task."""
+    part, own, held, of = (unused(df, c) for c in ("__part", "__own", "__held", "__of"))
+    # Written once, as in numbered().
+    ranged = materialise(df.repartitionByRange(*keys, *order).withColumn(part, F.spark_partition_id()), "ranges")
+    within = ranged.withColumn(own, F.min(value).over(Window.partitionBy(part, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    before = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # a row for each range of a key
+    carried = ranged.groupBy(part, *keys).agg(F.min(value).alias(held)).withColumn(held, F.min(held).over(before)).where(F.col(held).isNotNull())
+    # Ranges follow the keys, so at most one key of a range has begun before it: a row a range is broadcast.
+    right = carried.select(F.col(part).alias(of), *(F.col(k).alias(f"{of}_{k}") for k in keys), held)
+    on = [F.col(part) == F.col(of), *(F.col(k).eqNullSafe(F.col(f"{of}_{k}")) for k in keys)]
+    joined = within.join(F.broadcast(right), on, "left").withColumn(name, F.least(held, own))
+    return joined.drop(part, own, held, of, *(f"{of}_{k}" for k in keys))
