@@ -105,6 +105,14 @@ def test_best_match_forms_no_pairs(spark, tmp_path):
     assert got == {k: (1, k // 2 + 1) if k < 1998 else (2, 0) for k in range(2000)}
 
 
+def test_every_row_is_projected(spark, tmp_path):
+    # No id below is divisible by 100, and many vectors are equal.
+    rng = np.random.default_rng(5)
+    rows = [(k * 100 + 1, (rng.normal(size=64) if k % 3 else np.arange(1.0, 65.0)).astype(np.float32).tolist(), k % 4) for k in range(60)]
+    same_on(spark, "knn_projection", tmp_path, {"embeddings": spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)})
+    assert QUERIES["knn_projection"](spark, str(tmp_path)).select("q").distinct().count() == 60
+
+
 def test_components_are_orthonormal(spark, sf_dir):
     from tidewell.operators.vectors import principal_components
     from tidewell.plans.tables import checked_components

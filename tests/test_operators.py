@@ -130,6 +130,22 @@ def test_nearest_ties_and_odd_rows(spark):
     assert sorted((r.q, r["rank"], r.t) for r in got) == [(a, k + 1, k) for a in (1, 4) for k in range(3)]
 
 
+def test_nearest_over_blocks_equals_brute_force():
+    import numpy as np
+
+    from tidewell.operators.vectors import _top
+
+    rng = np.random.default_rng(7)
+    for dim, k, block in ((1, 3, 4), (2, 5, 9), (3, 7, 16), (2, 1, 5), (2, 40, 8)):  # in few dimensions most are tied
+        t = rng.integers(-2, 3, size=(90, dim)).astype(float)
+        t = t[np.abs(t).sum(1) > 0]
+        t /= np.linalg.norm(t, axis=1)[:, None]
+        ids = rng.permutation(1000)[: len(t)]
+        d = np.round(1 - t[:20] @ t.T, 12)
+        want = [(a, int(ids[b]), d[a, b]) for a in range(20) for b in sorted(range(len(t)), key=lambda b: (d[a, b], ids[b]))[:k]]  # noqa: B023
+        assert [(int(a), int(b), c) for a, b, c in zip(*_top(t[:20], ids, t, k, block), strict=True)] == want
+
+
 def test_sources(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("occurrence.txt", "gbifID\tname\n1\tx\n2\ty\n")

@@ -66,16 +66,40 @@ def projected(df: DataFrame, vector: str, mean: np.ndarray, components: np.ndarr
     return df.withColumns({f"{name}_{k}": dot(w) for k, w in enumerate(components)})
 
 
+def _near(like: np.ndarray, last: np.ndarray | None, k: int, slack: float) -> np.ndarray:
+    """Which of these similarities may be among the k nearest: above `last`, or about the k greatest of each row."""
+    if last is not None:
+        return like > (last - slack).astype(like.dtype)[:, None]
+    far, k = -like, min(k, like.shape[1])  # so that NaN is far
+    return far <= (np.partition(far, k - 1, axis=1)[:, k - 1] + 2 * slack).astype(like.dtype)[:, None]
+
+
 def _top(x: np.ndarray, ids: np.ndarray, t: np.ndarray, k: int, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row of x, id, distance) of the k nearest of t for each row of x, `block` x `block` distances at a time. Distances have 12 decimals, so equal vectors are tied."""
+    """(row of x, id, distance) of the k nearest of t for each row of x, `block` x `block` pairs at a time. Distances have 12 decimals, so equal vectors are tied.
+
+    Single precision tells which pairs may be near, with more slack than its error for unit vectors; their distances are
+    then worked out in double. Where many are that close, as of equal vectors, double precision tells them apart first.
+    """
+    order = np.argsort(ids, kind="stable")  # so that of ties the earlier block's win
+    ids, t = ids[order], t[order]
+    x32, t32, slack, step = x.astype(np.float32), t.astype(np.float32), 2.4e-7 * (x.shape[1] + 4), max(1, (4 << 20) // x.shape[1])
+    room = np.empty(min(block, len(x)) * min(block, len(t)), np.float32)
     rows, best, near = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
     for a in range(0, len(x), block):
-        held = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+        held, xa = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)), x[a : a + block]
         for b in range(0, len(t), block):
-            d = np.round(1 - x[a : a + block] @ t[b : b + block].T, 12)
-            limit = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1]
-            r, c = np.nonzero(d <= limit[:, None])
-            held = tuple(np.concatenate(z) for z in zip(held, (r, ids[b + c], d[r, c]), strict=True))
+            tb = t[b : b + block]
+            last = 1 - held[2][k - 1 :: k] if len(held[0]) == len(xa) * k else None  # rows with k already take only what is nearer
+            like = np.matmul(x32[a : a + block], t32[b : b + block].T, out=room[: len(xa) * len(tb)].reshape(len(xa), len(tb)))
+            found = _near(like, last, k, slack)
+            if np.count_nonzero(found) > found.size // 32:
+                found = _near(xa @ tb.T, last, k, 1e-12 if last is None else -4e-13)
+            at = np.flatnonzero(found)
+            if not len(at):
+                continue
+            r, c = np.divmod(at, len(tb))
+            d = np.concatenate([np.einsum("ij,ij->i", xa[r[p : p + step]], tb[c[p : p + step]]) for p in range(0, len(r), step)])
+            held = tuple(np.concatenate(z) for z in zip(held, (r, ids[b + c], np.round(1 - d, 12)), strict=True))
             order = np.lexsort((held[1], held[2], held[0]))
             r = held[0][order]
             first = np.searchsorted(r, r)  # where a row's candidates begin
@@ -103,7 +127,7 @@ def nearest(queries: DataFrame, training: DataFrame, k: int, query_id: str, vect
     right = rows.withColumn("tc", F.pmod(F.xxhash64("id", "v"), F.lit(parts[1])).cast("int")).withColumn("qc", every(parts[0]))
 
     def matrix(table: pa.Table) -> np.ndarray:
-        x = np.array(table.column("v").to_pylist(), np.float64)
+        x = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
         return x / np.linalg.norm(x, axis=1)[:, None]
 
     def cell(one: pa.Table, other: pa.Table) -> pa.Table:

@@ -285,24 +285,25 @@ def vector_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.select("vec_id", F.aggregate(bytes_, F.lit(0).cast("long"), lambda s, x: s + x).alias("total"))
 
 
-KNN = """
+DISTANCES = """
 WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-d AS (SELECT q.vec_id AS q, t.vec_id AS t, round(1 - list_dot_product(q.v, t.v) / sqrt(list_dot_product(q.v, q.v) * list_dot_product(t.v, t.v)), 12) AS d, t.v AS tv FROM e q, e t WHERE q.vec_id % 100 = 0),
+d AS (SELECT q.vec_id AS q, t.vec_id AS t, round(1 - list_dot_product(q.v, t.v) / sqrt(list_dot_product(q.v, q.v) * list_dot_product(t.v, t.v)), 12) AS d, t.v AS tv FROM e q, e t"""
+RANKED = """),
 r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY d, t) AS k FROM d)"""
 
 
-@query(KNN + " SELECT q, t, CAST(k AS INTEGER) AS rank FROM r WHERE k <= 5")
+@query(DISTANCES + " WHERE q.vec_id % 100 = 0" + RANKED + " SELECT q, t, CAST(k AS INTEGER) AS rank FROM r WHERE k <= 5")
 def knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     found = vectors.nearest(e.where("vec_id % 100 = 0").withColumnRenamed("vec_id", "q"), e.withColumnRenamed("vec_id", "t"), 5, "q", "embedding", "t", "embedding")
     return found.select("q", "t", "rank")
 
 
-@query(KNN + " SELECT q, CAST(i - 1 AS INTEGER) AS pos, round(sum(tv[i] / (d + 1e-6)) / sum(1 / (d + 1e-6)), 4) AS value FROM r, range(1, 4) g(i) WHERE k <= 15 GROUP BY q, i")
+@query(DISTANCES + RANKED + " SELECT q, CAST(i - 1 AS INTEGER) AS pos, round(sum(tv[i] / (d + 1e-6)) / sum(1 / (d + 1e-6)), 4) AS value FROM r, range(1, 4) g(i) WHERE k <= 15 GROUP BY q, i")
 def knn_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings").withColumn("embedding", F.col("embedding").cast("array<double>"))
     training = e.withColumnRenamed("vec_id", "t")
-    found = vectors.nearest(e.where("vec_id % 100 = 0").withColumnRenamed("vec_id", "q"), training, 15, "q", "embedding", "t", "embedding")
+    found = vectors.nearest(e.withColumnRenamed("vec_id", "q"), training, 15, "q", "embedding", "t", "embedding")
     return vectors.weighted_projection(found, training.withColumn("target", F.slice("embedding", 1, 3)), "q", "t", "target").withColumn("value", F.round("value", 4))
 
 
